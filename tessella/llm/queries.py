@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_rules
+from . import mixing, packing, quality_rules, simhash
 from .oracles import ORACLES
 
 
@@ -25,6 +25,11 @@ def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"), keep=False)
     return plan.select(
@@ -41,6 +46,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_pack_documents": op2_pack_documents,
+        "op3_simhash_dedup": op3_simhash_dedup,
         "op8_mix_sources": op8_mix_sources,
         "op9_quality_rules": op9_quality_rules,
     }
