@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_rules, sharding, simhash, toxicity
+from . import mixing, packing, quality_rules, sharding, simhash, toxicity, warc
 from .oracles import ORACLES
 
 
@@ -30,6 +30,10 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_pack_documents": op2_pack_documents,
         "op3_simhash_dedup": op3_simhash_dedup,
+        "op4_warc_round_trip": op4_warc_round_trip,
         "op6_toxicity": op6_toxicity,
         "op7_shard_documents": op7_shard_documents,
         "op8_mix_sources": op8_mix_sources,
