@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality_rules, sharding, simhash, toxicity, warc
+from . import ann, mixing, packing, quality_rules, sharding, simhash, toxicity, warc
 from .oracles import ORACLES
 
 
@@ -59,6 +59,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), 20, query=F.col("query_id") % 20 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_pack_documents": op2_pack_documents,
@@ -68,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_shard_documents": op7_shard_documents,
         "op8_mix_sources": op8_mix_sources,
         "op9_quality_rules": op9_quality_rules,
+        "op10_nearest_neighbours": op10_nearest_neighbours,
     }
 
 
