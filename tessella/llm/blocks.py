@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-#: bytes.split() splits exactly at these: space, and tab to carriage return.
-SPACE = re.compile(rb"[ \t-\r]")
+#: A space after a visible ASCII character: nothing that tokenizers or words join spans it.
+#: The spaces are those that bytes.split() splits at: space, and tab to carriage return.
+SPACE = re.compile(rb"(?<=[!-~])[ \t-\r]")
 BLOCK = 1 << 20
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, mixing, packing, quality_rules, sharding, simhash, toxicity, warc
+from . import ann, mixing, packing, quality_bayes, quality_rules, sharding, simhash, token_scan, toxicity, warc
 from .oracles import ORACLES
 
 
@@ -21,6 +21,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources stand for hosts, languages within a source for paths."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_bayes.classify(docs, labels, F.col("source"), F.col("lang"))
+
+
 def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
@@ -34,6 +40,12 @@ def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_scan.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -65,9 +77,11 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_bayes": op1_quality_bayes,
         "op2_pack_documents": op2_pack_documents,
         "op3_simhash_dedup": op3_simhash_dedup,
         "op4_warc_round_trip": op4_warc_round_trip,
+        "op5_token_counts": op5_token_counts,
         "op6_toxicity": op6_toxicity,
         "op7_shard_documents": op7_shard_documents,
         "op8_mix_sources": op8_mix_sources,
