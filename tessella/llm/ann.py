@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from ..runtime import ship
 from .common import bucket_count, col
 
-DIRECTIONS = 80
+DIRECTIONS = 64
 #: A vector is verified when it collides in this share of the directions.
 COLLISIONS = 0.6
 #: Windows widen until this share of a block, and at least so many, are verified.
 VERIFY_SHARE = 0.2
 VERIFY_LEAST = 500
-FIRST_WINDOW = 1.0  # of the deviation of a block's projections
-WIDEN = 1.15
+FIRST_WINDOW = 1.4  # of the deviation of a block's projections
+WIDEN = 1.2
 BLOCK_ROWS = 8_192
 QUERY_ROWS = 1_024
 SEED = 20
@@ -54,28 +54,31 @@ def search_block(ids, vectors, query_ids, queries, reach: float, k: int):
     # A query is brought to the same norm too; its direction alone decides its neighbours.
     norms = np.sqrt(np.einsum("ij,ij->i", queries, queries))
     centres = queries @ directions[:dim] * (np.sqrt(reach) / norms)[:, None]
-    half = FIRST_WINDOW * max(float(projected.std()), 1e-300) / 2
+    half = FIRST_WINDOW * max(float(projected.std()), 1e-3 * np.sqrt(reach)) / 2
     enough, needed = max(VERIFY_LEAST, int(VERIFY_SHARE * n)), int(np.ceil(COLLISIONS * DIRECTIONS))
-    widths = half * WIDEN ** np.arange(64)
     small, close = vectors.astype(np.float32), queries.astype(np.float32)
     slack = 1e-5 * np.sqrt(reach) * norms
+    windows = []  # by step: the windows' ends in each array (rows), for all queries (columns)
+    edges = centres.T.copy()
+
+    def window(step: int):
+        while step >= len(windows):
+            width = half * WIDEN ** len(windows)
+            low = np.array([a.searchsorted(c - width) for a, c in zip(arrays, edges, strict=True)])
+            windows.append((low, np.array([a.searchsorted(c + width, "right") for a, c in zip(arrays, edges, strict=True)])))
+        return windows[step]
+
     out = ([], [], [])
     for q in range(len(queries)):
-        count, low, high = np.zeros(n, np.int64), None, None
-        for width in widths:
-            to_low = np.array([a.searchsorted(c - width) for a, c in zip(arrays, centres[q], strict=True)])
-            to_high = np.array([a.searchsorted(c + width, "right") for a, c in zip(arrays, centres[q], strict=True)])
-            if low is None:
-                new = [o[a:b] for o, a, b in zip(order, to_low, to_high, strict=True)]
-            else:
-                new = [o[a:b] for o, a, b in zip(order, to_low, low, strict=True)] + [o[a:b] for o, a, b in zip(order, high, to_high, strict=True)]
+        low, high = (x[:, q].tolist() for x in window(0))
+        count = np.bincount(np.concatenate([o[a:b] for o, a, b in zip(order, low, high, strict=True)]), minlength=n)
+        step = 0
+        while len(found := np.flatnonzero(count >= needed)) < min(enough, n):
+            step += 1
+            to_low, to_high = (x[:, q].tolist() for x in window(step))
+            new = [o[a:b] for o, a, b in zip(order, to_low, low, strict=True)] + [o[a:b] for o, a, b in zip(order, high, to_high, strict=True)]
             count += np.bincount(np.concatenate(new), minlength=n)
             low, high = to_low, to_high
-            found = np.flatnonzero(count >= needed)
-            if len(found) >= enough or (high - low).min() == n:
-                break
-        else:
-            found = np.arange(n)
         found = found[ids[found] != query_ids[q]]
         rough = small[found] @ close[q]
         if len(found) > k:
