@@ -176,8 +176,8 @@ def nearest_silence(spark, sf):
 @register(
     "segments_in_window",
     """WITH l AS (SELECT l_orderkey, l_linenumber, l_quantity AS s, l_quantity + l_linenumber AS e FROM lineitem)
-    SELECT l_orderkey, (SELECT arg_min(s, l_linenumber) FROM l i WHERE i.l_orderkey = o.l_orderkey AND s BETWEEN 10 AND 30) AS first_start,
-      (SELECT arg_max(e, l_linenumber) FROM l i WHERE i.l_orderkey = o.l_orderkey AND e BETWEEN 10 AND 30) AS last_end FROM (SELECT DISTINCT l_orderkey FROM l) o""",
+    SELECT l_orderkey, (SELECT arg_min(s, l_linenumber * 1000 + s) FROM l i WHERE i.l_orderkey = o.l_orderkey AND s BETWEEN 10 AND 30) AS first_start,
+      (SELECT arg_max(e, l_linenumber * 1000 + s) FROM l i WHERE i.l_orderkey = o.l_orderkey AND e BETWEEN 10 AND 30) AS last_end FROM (SELECT DISTINCT l_orderkey FROM l) o""",
 )
 def segments_in_window(spark, sf):
     part = F.struct("l_linenumber", F.col("l_quantity").alias("start"), (F.col("l_quantity") + F.col("l_linenumber")).alias("end"))
