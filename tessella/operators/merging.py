@@ -95,3 +95,8 @@ def either(name: Column, *others: Column) -> Column:
 
 
 KNOWN_SIDECARS = tuple(schemas.SIDECARS)
+
+
+def by_locality(rows: DataFrame, parent: str, *order: str) -> DataFrame:
+    """Rows of a parent side by side in one partition, so that what is read for it is read once."""
+    return rows.repartition(parent).sortWithinPartitions(parent, *order)

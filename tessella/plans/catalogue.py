@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analytics, browsing, timelines
+from . import analytics, browsing, emitting, timelines
 
-PARTS = (browsing, timelines, analytics)
+PARTS = (browsing, timelines, analytics, emitting)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

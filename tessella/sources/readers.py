@@ -232,6 +232,6 @@ def canonical_variants(listing: DataFrame, name: str = "name", group: Sequence[s
     return rows.withColumn("nth_", F.row_number().over(best)).filter("nth_ = 1").drop("nth_", "rank_", "variant_")
 
 
-def position_key(*columns: str) -> Column:
-    """A tie-breaker from columns, for readers that number rows."""
-    return F.struct(*columns)
+def first_present(spark: SparkSession, *paths: str) -> str | None:
+    """The first path that exists: a newer generation of a table, or the one before."""
+    return next((p for p in paths if exists(spark, p)), None)

@@ -204,3 +204,58 @@ def test_validation(spark, small):
     side = small.filter("utterance_id = 'a'").select("utterance_id", "quality_flags.rms_dbfs")
     assert validation.spot_check(small, {"tier1": side}).first().asDict() == {"sidecar": "tier1", "field": "rms_dbfs", "compared": 1, "different": 0}
     assert merging.pending(small, side).count() == 2
+
+
+def test_more_readers(spark, tmp_path):
+    import gzip
+
+    with gzip.open(tmp_path / "a.tsv.gz", "wt") as f:
+        f.write("event_id\tsegment_no\tstart\tend\nx_hu\t0\t1.0\t2.5\nx_hu\t1\tbad\t3\ny_de\t0\t1\t2\n")
+    assert [tuple(r)[2:] for r in readers.alignment(spark, str(tmp_path / "a.tsv.gz")).collect()] == [("x_hu_0", 1.0, 2.5)]
+    (tmp_path / "q.tsv").write_text('id\ttext\n1\t"two\nlines\tand ""tabs"""\n')
+    assert [tuple(r) for r in readers.tsv_quoted(spark, str(tmp_path / "q.tsv")).collect()] == [("1", 'two\nlines\tand "tabs"')]
+    assert {r["path"].rsplit("/")[-1] for r in readers.files(spark, str(tmp_path), "*.tsv").collect()} == {"q.tsv"}
+    assert readers.first_present(spark, str(tmp_path / "none"), str(tmp_path / "q.tsv")) == str(tmp_path / "q.tsv")
+    assert readers.first_present(spark, str(tmp_path / "none")) is None
+
+
+def test_catalog(spark, tmp_path, small):
+    m.flatten(small).write.parquet(str(tmp_path / "flat"))
+    catalog = browse.Catalog(spark, {"flat": str(tmp_path / "flat")})
+    assert catalog.listing() == [{"name": "flat", "path": str(tmp_path / "flat")}]
+    with pytest.raises(browse.RequestError):
+        catalog.open("/etc/passwd")
+    catalog.open("flat")
+    assert catalog.stats().first()["rows"] == 3 and catalog.row("a").first()["source"] == "s1" and catalog.lids().first()["value"] == "sk"
+    assert len(catalog.schema()) == 65 and catalog.sources().count() == 2 and catalog.rows(browse.RowsRequest())[1].first()["total"] == 3
+    assert spark.sql("SELECT count(*) AS n FROM manifest").first()["n"] == 3
+
+
+def test_other_emitters(spark):
+    info = "path string, info struct<codec:string,sample_rate:bigint,channels:bigint,duration_sec:double>"
+    probed = spark.createDataFrame([("/r/2011/x_hu.ogg", ("vorbis", 16000, 1, 60.0)), ("/r/2011/bad.ogg", None)], info)
+    (r,) = m.sessions(probed, "/r").collect()
+    assert (r["utterance_id"], r["quality_flags"]["year"], r["segmentation_status"]) == ("voxpopuli_hu_unlabeled/x_hu", "2011", "session_level")
+    items = spark.createDataFrame([("2011", "Title", "https://creativecommons.org/publicdomain/mark/1.0/")], "identifier string, title string, license_url string")
+    (r,) = m.archive_files(probed, items, "librivox_hu", "CC-BY (mixed)", "audiobook", "narrated", "/r").collect()
+    assert (r["utterance_id"], r["license"], r["attribution"], r["audio_format"]) == ("2011/x_hu", "PD", "Title (archive.org: 2011)", "ogg")
+    (r,) = m.archive_files(probed, items.limit(0), "podcasts_hu_cc", "CC-BY (mixed)", "podcast", "spontaneous", "/r").collect()
+    assert (r["license"], r["attribution"], r["license_url"]) == ("CC-BY", "2011 (archive.org: 2011)", None)
+    wavs = spark.createDataFrame([("/r/v-00001-00000100-00000350.wav",), ("/r/none.wav",)], "path string")
+    texts = spark.createDataFrame([("v-00001-00000100-00000350", "szia")], "uid string, value string")
+    (r,) = m.web_segments(wavs, texts, spark.createDataFrame([], "uid string, value double"), "/r").collect()
+    assert (r["duration_sec"], r["speaker_id"], r["transcripts"]["source_caption"]) == (2.5, "v", "szia")
+    merged = spark.createDataFrame([("v", "v-0-1", 0.0, 5.0, 5.0, "t", ["a"], 60.0), ("w", "w-0-1", 0.0, 5.0, 5.0, "t", ["a"], 60.0)], schemas.MERGED_CAPTIONS)
+    (r,) = m.merged_captions(merged, spark.createDataFrame([("/r/v.wav",)], "path string"), "/r").collect()
+    assert (r["utterance_id"], r["sample_rate"], r["quality_flags"]["merged_from"]) == ("v-0-1", 24_000, ["a"])
+
+
+def test_sets(spark, small):
+    lean = m.lean(small).cache()
+    dev = sampling.dev_set(lean, {"s1": 0.001})
+    assert {r["quality_flags"]["set_membership"] for r in dev.collect()} == {"dev"}
+    smoke = sampling.smoke_set(lean, 10, 0.2)
+    assert smoke.count() == 3 and {r["quality_flags"]["smoke_bucket"] for r in smoke.collect()} == {"normal"}
+    checked = readers.jsonl_checked
+    assert checked is not None and validation.verdict(lean, spark.createDataFrame([(None,)], f"{readers.CORRUPT} string"), {}, 3, 0.0) == {"A": True, "B": True, "D": True, "F": True}
+    assert merging.merge_passes(spark.createDataFrame([("a", "hu", None), ("a", None, 2)], "utterance_id string, x string, y int")).first().asDict() == {"utterance_id": "a", "x": "hu", "y": 2}
