@@ -61,6 +61,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a table that is sent whole to every task, at most; some of the rows here have a
+#: few numbers and short names, so this is a few megabytes.
+BROADCAST_ROWS = 20_000
+
+
+def join_small(rows: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
+    """Join with a computed table that is usually small: broadcast if it is, else a plain join.
+
+    Without the hint both sides would be shuffled before the small one's size is known.
+    """
+    return rows.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+
+
 def new_path(spark: SparkSession, kind: str) -> str:
     """A fresh path in the shared folder."""
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"

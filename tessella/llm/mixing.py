@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, text_of, word_count
+from .common import col, cut, join_small, text_of, word_count
 
 SEED = "mix-1"
 DRAW_BITS = 52
@@ -91,10 +91,10 @@ def mix_plan(
         word_count(text_of(text_col)).alias("size"),
     )
     totals = rows.groupBy(F.col("doc_source").alias("mix_source")).agg(F.sum("size").alias("source_size"))
-    targets = source_targets(totals, weights, max_repeat, share)
+    targets = cut(source_targets(totals, weights, max_repeat, share))
     rate = F.when(F.col("source_size") > 0, F.col("mix_target") / F.col("source_size")).otherwise(0.0)
     extra = draw(F.col("mix_id"), seed) < rate - F.floor(rate)
-    return rows.join(targets, F.col("doc_source").eqNullSafe(F.col("mix_source"))).select(
+    return join_small(rows, targets, F.col("doc_source").eqNullSafe(F.col("mix_source"))).select(
         *(["doc"] if keep else []),
         "mix_id",
         "size",

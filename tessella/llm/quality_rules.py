@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, col, cut, let, text_of, words_of
+from .common import SPACE_CHARS, col, cut, join_small, let, text_of, words_of
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -159,12 +159,12 @@ def thresholds(sketches: DataFrame, min_rows: int = GROUP_MIN_ROWS) -> DataFrame
 
 
 def judged(measured: DataFrame, limits: DataFrame) -> DataFrame:
-    """``measured`` with base_failed and kept."""
+    """``measured`` with base_failed and kept; ``limits`` is a computed table."""
     same = F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source"))
     within = F.lit(True)
     for m in METRICS:
         within = within & (metric(m) <= F.col("limits")[m])
-    return measured.join(limits, same, "left").select(
+    return join_small(measured, limits, same, "left").select(
         *[measured[c] for c in measured.columns],
         base_failed().alias("base_failed"),
         (~base_failed() & F.coalesce(within, F.lit(True))).alias("kept"),
@@ -195,7 +195,7 @@ def judge(docs: DataFrame, **columns) -> DataFrame:
     alike, ties lie on the kept side of a threshold, an empty table gives no rows.
     """
     measured = cut(measure(docs, **columns))
-    return judged(measured, thresholds(sketch(measured)))
+    return judged(measured, cut(thresholds(sketch(measured))))
 
 
 def keep_good(docs: DataFrame, **columns) -> DataFrame:

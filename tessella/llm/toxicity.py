@@ -145,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     known = labels.select(col(id_col).alias("label_id"), col(label_col).cast("int").alias("y")).filter("label_id IS NOT NULL AND y IS NOT NULL")
     known = known.filter(~held_out(F.col("label_id"))).groupBy("label_id").agg(F.max("y").alias("y"))
     sample = cut(known.orderBy(F.xxhash64("label_id"), "label_id").limit(max_train))
-    rows = docs.select(col(id_col).alias("own_id"), text_of(text_col).alias("text")).join(sample, F.col("own_id") == F.col("label_id"))
+    rows = docs.select(col(id_col).alias("own_id"), text_of(text_col).alias("text")).join(F.broadcast(sample), F.col("own_id") == F.col("label_id"))  # max_train rows of an id and a label
 
     def extract(batches: Iterator) -> Iterator:
         import pyarrow as pa
