@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, cut, text_of
+from .common import col, cut, join_small, text_of
 from .quality_rules import measures
 
 #: feature: (expression over the measures, bins' upper ends).
@@ -45,7 +45,8 @@ def features(docs: DataFrame, host: Column, path: Column, *, id_col: str = "doc_
     marks = F.length(text) - F.length(F.translate(text, "!?", ""))
     rows = docs.select(col(id_col).alias("doc_id"), host.cast("string").alias("host"), path.cast("string").alias("path"), measures(text).alias("m"), capitals.alias("capitals"), marks.alias("marks"))
     rows = rows.select("doc_id", "host", "path", "m.*", "capitals", "marks")
-    bins = [sum(((F.expr(e) > end).cast("int") for end in ends), F.lit(0)).alias(f) for f, (e, ends) in FEATURES.items()]
+    above = lambda e, ends: F.size(F.filter(F.array(*map(F.lit, ends)), lambda end: F.expr(e) > end))
+    bins = [above(e, [float(end) for end in ends]).alias(f) for f, (e, ends) in FEATURES.items()]
     return rows.select("doc_id", "host", "path", *bins)
 
 
@@ -94,7 +95,7 @@ def strength(groups: DataFrame, mean: float) -> float:
 def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
     """(doc_id, host, path, evidence, host_quality, path_quality, quality, kept) of every row.
 
-    path_quality leaves the document itself out.  Null texts count as empty, null hosts
+    path_quality leaves the document itself out, at both levels.  Null texts count as empty, null hosts
     and paths as groups of their own; repeated rows are each judged; without labels all
     evidence is 0 and the prior one half; an empty table gives no rows.
     """
@@ -112,10 +113,11 @@ def classify(docs: DataFrame, labels: DataFrame, host: Column, path: Column, *,
     mean = whole["total"] / whole["n"] if whole["n"] else prior
     host_strength, path_strength = strength(hosts, mean), strength(paths, mean)
     host_rate = (F.col("total") + host_strength * mean) / (F.col("n") + host_strength)
-    rates = hosts.select(F.col("host").alias("h_host"), host_rate.alias("host_quality"))
-    groups = cut(paths.join(rates, F.col("host").eqNullSafe(F.col("h_host"))).select(F.col("host").alias("p_host"), F.col("path").alias("p_path"), "n", "total", "host_quality"))
-    rows = scored.join(groups, F.col("host").eqNullSafe(F.col("p_host")) & F.col("path").eqNullSafe(F.col("p_path")))
-    without = (F.col("total") - F.col("own") + path_strength * F.col("host_quality")) / (F.col("n") - 1 + path_strength)
+    rates = hosts.select(F.col("host").alias("h_host"), F.col("n").alias("h_n"), F.col("total").alias("h_total"), host_rate.alias("host_quality"))
+    groups = cut(paths.join(rates, F.col("host").eqNullSafe(F.col("h_host"))).select(F.col("host").alias("p_host"), F.col("path").alias("p_path"), "n", "total", "h_n", "h_total", "host_quality"))
+    rows = join_small(scored, groups, F.col("host").eqNullSafe(F.col("p_host")) & F.col("path").eqNullSafe(F.col("p_path")))
+    host_without = (F.col("h_total") - F.col("own") + host_strength * mean) / (F.col("h_n") - 1 + host_strength)
+    without = (F.col("total") - F.col("own") + path_strength * host_without) / (F.col("n") - 1 + path_strength)
     quality = _sigmoid(_logit(F.col("path_quality")) + F.col("evidence"))
     judged = rows.withColumn("path_quality", without).withColumn("quality", quality)
     return judged.select("doc_id", "host", "path", "evidence", "host_quality", "path_quality", "quality", (F.col("quality") >= THRESHOLD).alias("kept"))
