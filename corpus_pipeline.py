@@ -51,9 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = queries.table(spark, sf_dir, "documents")
+    """All stages; what a stage has read is deleted once its own rows are written."""
+    docs, before = queries.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = common.new_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            common.remove(spark, before)
+        before = path
     return docs

@@ -29,8 +29,11 @@ VERIFY_SHARE = 0.2
 VERIFY_LEAST = 500
 FIRST_WINDOW = 1.4  # of the deviation of a block's projections
 WIDEN = 1.2
-BLOCK_ROWS = 8_192
-QUERY_ROWS = 1_024
+#: Rows of a block of vectors and of queries, and how far both grow with the table: every
+#: vector is sent once for each block of queries and every query once for each of vectors.
+BLOCK_ROWS, MOST_BLOCK_ROWS = 8_192, 65_536
+QUERY_ROWS, MOST_QUERY_ROWS = 1_024, 16_384
+BLOCKS, QUERY_BLOCKS = 256, 64
 SEED = 20
 
 
@@ -116,7 +119,9 @@ def search(
     is_query = rows.select(F.col("vec_id").alias("query_id"), squares.alias("squares")).agg(F.count("*").alias("n"), F.count_if(asked).alias("asked"), F.max("squares").alias("reach")).first()
     reach = is_query["reach"] or 1.0
     # Hash-dealt blocks are of nearly equal size, whatever the ids.
-    blocks, parts = bucket_count(is_query["n"], BLOCK_ROWS, 1), bucket_count(is_query["asked"], QUERY_ROWS, 1)
+    size = lambda rows, least, most, tasks: min(max(least, rows // tasks), most)
+    blocks = bucket_count(is_query["n"], size(is_query["n"], BLOCK_ROWS, MOST_BLOCK_ROWS, BLOCKS), 1)
+    parts = bucket_count(is_query["asked"], size(is_query["asked"], QUERY_ROWS, MOST_QUERY_ROWS, QUERY_BLOCKS), 1)
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     data = rows.select("vec_id", "vector", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(blocks)).cast("int").alias("block"), every(parts).alias("part"))
     queries = rows.withColumnRenamed("vec_id", "query_id").filter(asked).groupBy("query_id").agg(F.min("vector").alias("vector"))

@@ -57,7 +57,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into the shared folder and go on from there."""
-    shared_dir(df.sparkSession)
+    folder, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 
@@ -79,6 +81,12 @@ def new_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared folder."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def bucket_count(rows: int, per_bucket: int, least: int) -> int:
     """Buckets so that one holds about ``per_bucket`` rows, ``least`` at the least."""
     return max(least, -(-rows // per_bucket))
