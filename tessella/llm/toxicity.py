@@ -31,10 +31,12 @@ MIN_DOCS = 8
 MIN_DEVIATIONS = 5.0
 BUCKETS = 1 << 22
 RANK = 8
-STEPS = 400
+STEPS = 600
 BATCH = 1_024
-RATE = 0.03
+RATE = 0.06
 DECAY = 1e-5
+#: Share of terms left out at random in each step, so that each learns to tell alone.
+DROP = 0.25
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 KEPT_WORDS = 300_000
@@ -115,6 +117,8 @@ def train(rows: list[tuple[list[int], int]], buckets: tuple[int, ...]) -> Model:
     for step in range(1, STEPS + 1):
         pick = rng.integers(0, len(y), min(BATCH, len(y)))
         part, (bias, w, v) = x[pick], state
+        at = np.flatnonzero(part)
+        part.ravel()[at[rng.random(len(at)) < DROP]] = 0
         sums = part @ v
         z = bias + part @ w + 0.5 * ((sums * sums).sum(1) - part @ (v * v).sum(1))
         off = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[pick]) / len(pick)
