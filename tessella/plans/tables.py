@@ -55,7 +55,9 @@ manifest AS (
 def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as intervals (event_id, user_id, s, e, label) in whole seconds on their user's timeline."""
     events = table(spark, sf_dir, "events")
-    start = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    # From the fields of the naive timestamp, so that no time zone takes part.
+    day = F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    start = day * 86_400 + F.hour("ts") * 3_600 + F.minute("ts") * 60 + F.second("ts")
     return events.select("event_id", "user_id", start.alias("s"), (start + F.ceil("value")).alias("e"), F.col("event_type").alias("label"))
 
 
