@@ -21,7 +21,6 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..runtime import ship
 from .common import col, cut, new_path, text_of
