@@ -15,7 +15,7 @@ from array import array
 
 from .blocks import blocks
 
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 250_000
 LONGEST_KEPT = 48
 #: Punctuation that may end a chunk: a run of it after an ASCII letter is a token run of its own.
 STOPS = b".,!?;:*%$#&|"

@@ -39,7 +39,7 @@ DECAY = 1e-5
 DROP = 0.25
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
 #: Everything in ASCII that is not a letter separates words.
 NOT_LETTERS = {i: " " for i in range(128) if not chr(i).isalpha()}
 
@@ -81,7 +81,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _known(buckets: tuple[int, ...]) -> dict[str, tuple[int, ...]]:
     return {}
 
