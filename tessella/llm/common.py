@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import cut, shared_dir  # noqa: F401
+
 #: ASCII white space that separates words: space, and tab to carriage return.
 SPACE_CLASS = r"\x20\x09-\x0D"
 WORD_REGEX = rf"[^{SPACE_CLASS}]+"
@@ -39,30 +41,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set here only if nothing set it (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    jvm_folder = spark.sparkContext.getCheckpointDir()
-    if jvm_folder:
-        return jvm_folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    import tempfile
-
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessella-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and go on from there."""
-    folder, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 #: Rows of a table that is sent whole to every task, at most; some of the rows here have a
 #: few numbers and short names, so this is a few megabytes.
 BROADCAST_ROWS = 20_000

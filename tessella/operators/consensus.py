@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import difflib
 from collections.abc import Callable, Iterator, Sequence
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..runtime import ship
+from ..runtime import cut, ship
 
 # The tiers' limits, and the limits of adjudication.
 TIERS = (("GOLD", 0.02), ("HIGH", 0.05), ("MEDIUM", 0.10))
@@ -150,35 +151,118 @@ def inspect(df: DataFrame, verdict: str = "verdict", key: str = "utterance_id",
     return spans.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), key, "nth").cast("binary")), key, "nth").limit(n)
 
 
+def gram_counts(df: DataFrame, text: str) -> DataFrame:
+    """How often each word (``gram``) and each pair of words (with a space between) occurs, ends of texts included."""
+    w = F.concat(F.array(F.lit("<s>")), tx.words(F.col(text)), F.array(F.lit("</s>")))
+    pairs = F.zip_with(F.slice("w", F.lit(1), F.size("w") - 1), F.slice("w", F.lit(2), F.size("w") - 1), lambda x, y: F.concat_ws(" ", x, y))
+    rows = df.select(w.alias("w")).filter(F.size("w") > 2)
+    return rows.select(F.explode(F.concat("w", pairs)).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+
+
+def word_total(df: DataFrame, text: str) -> int:
+    """All words of ``gram_counts``, counted without them."""
+    n = F.size(tx.words(F.col(text)))
+    return df.agg(F.sum(F.when(n > 0, n + 2))).first()[0] or 0
+
+
 class BigramModel:
     """A small language model: log10 probabilities of words after their predecessors.
 
-    Counts are taken with Spark; of them, the ``most`` frequent pairs and words are kept,
-    which bounds what every task holds.  Unseen pairs fall back on words, those on a floor.
+    ``counts`` has words and pairs as in ``gram_counts``, ``total`` is the number of words of
+    all texts.  Unseen pairs fall back on words, those on a floor.
     """
 
-    def __init__(self, pairs: dict[tuple[str, str], int], words: dict[str, int]):
-        self.pairs, self.words, self.total = pairs, words, sum(words.values()) + 1
+    def __init__(self, counts: dict[str, int], total: int):
+        self.counts, self.total = counts, total + 1
 
     @classmethod
-    def fit(cls, df: DataFrame, text: str, most: int = 100_000) -> "BigramModel":
-        w = tx.words(F.col(text))
-        ends = F.concat(F.array(F.lit("<s>")), w, F.array(F.lit("</s>")))
-        rows = df.select(ends.alias("w")).filter(F.size("w") > 2)
-        pairs = rows.select(F.explode(F.arrays_zip(F.slice("w", F.lit(1), F.size("w") - 1).alias("x"), F.slice("w", F.lit(2), F.size("w") - 1).alias("y"))).alias("p")).groupBy("p.x", "p.y").count()
-        words = rows.select(F.explode("w").alias("x")).groupBy("x").count()
-        top = lambda t: t.orderBy(F.desc("count"), *[c for c in t.columns if c != "count"]).limit(most).collect()
-        return cls({(r["x"], r["y"]): r["count"] for r in top(pairs)}, {r["x"]: r["count"] for r in top(words)})
+    def fit(cls, df: DataFrame, text: str) -> "BigramModel":
+        """All counts in one process, for few texts; ``adjudicated_by_counts`` is for any number."""
+        return cls({r["gram"]: r["n"] for r in gram_counts(df, text).collect()}, word_total(df, text))
 
     def score(self, words: Sequence[str]) -> float:
         from math import log10
 
         total, before = 0.0, "<s>"
         for word in [*words, "</s>"]:
-            seen = self.pairs.get((before, word))
-            if seen and before in self.words:
-                total += log10(seen / max(self.words[before], seen))
+            seen = self.counts.get(f"{before} {word}")
+            if seen:
+                total += log10(seen / self.counts[before])
             else:
-                total += log10(0.4 * (self.words.get(word, 0) + 0.1) / self.total)
+                total += log10(0.4 * (self.counts.get(word, 0) + 0.1) / self.total)
             before = word
         return total
+
+
+class Asked:
+    """In a model's place: keeps the words and pairs that it is asked for."""
+
+    def __init__(self):
+        self.grams: set[str] = set()
+
+    def score(self, words: Sequence[str]) -> float:
+        line = ["<s>", *words, "</s>"]
+        self.grams.update(line)
+        self.grams.update(map(" ".join, pairwise(line)))
+        return 0.0
+
+
+#: Characters of both texts that are judged together with one table of counts; a longer row is alone.
+BLOCK_CHARS = 1 << 18
+
+
+def adjudicated_by_counts(df: DataFrame, a: str, b: str, texts: DataFrame, text: str, name: str = "verdict") -> DataFrame:
+    """``df`` with the verdict of the bigram model of all of ``texts``, whose counts stay a distributed table.
+
+    Rows are put into blocks of bounded size.  A block asks once for each word and pair that its
+    spans need, so even the most frequent word is asked for no more often than there are
+    blocks; the counts found come back to the block, whose rows are then judged.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    total = word_total(texts, text)
+
+    def dealt(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        block = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            sizes = pc.add(*[pc.fill_null(pc.utf8_length(batch.column(c)), 0) for c in (a, b)])
+            ends = pc.divide(pc.cumulative_sum(pc.cast(sizes, pa.int64())), BLOCK_CHARS)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pc.add(ends, block)], [*batch.schema.names, "_block"])
+            block += (ends[-1].as_py() if len(ends) else 0) + 1
+
+    def ask(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def out(block: int, asked: Asked) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([block] * len(asked.grams), pa.int64()), pa.array(sorted(asked.grams), pa.string())], ["_block", "gram"])
+
+        block, asked = None, Asked()
+        for batch in batches:
+            for own, x, y in zip(*(batch.column(c).to_pylist() for c in ("_block", a, b)), strict=True):
+                if own != block:
+                    if asked.grams:
+                        yield out(block, asked)
+                    block, asked = own, Asked()
+                adjudicate((x or "").split(), (y or "").split(), asked.score)
+        if asked.grams:
+            yield out(block, asked)
+
+    verdicts = T.StructType([*df.schema.fields, T.StructField(name, VERDICT)])
+
+    def judge(rows, found):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        counts = dict(zip(found.column("gram").to_pylist(), found.column("n").to_pylist(), strict=True)) if found.num_rows else {}
+        score = BigramModel(counts, total).score
+        made = [adjudicate((x or "").split(), (y or "").split(), score) for x, y in zip(rows.column(a).to_pylist(), rows.column(b).to_pylist(), strict=True)]
+        return rows.drop_columns(["_block"]).append_column(name, pa.array(made, to_arrow_type(VERDICT)))
+
+    rows = cut(df.mapInArrow(dealt, T.StructType([*df.schema.fields, T.StructField("_block", T.LongType())])))
+    needed = rows.select("_block", a, b).mapInArrow(ask, "_block long, gram string")
+    found = needed.join(gram_counts(texts, text), "gram").select("_block", "gram", "n")
+    return rows.groupBy("_block").cogroup(found.groupBy("_block")).applyInArrow(judge, verdicts)

@@ -312,8 +312,7 @@ def align_opcodes(spark, sf):
 def lm_adjudicate(spark, sf):
     a, b, _ = pillars(spark, sf)
     rows = a.join(b.select("utterance_id", F.col("normalized").alias("other")), "utterance_id")
-    model = spark.sparkContext.broadcast(cs.BigramModel.fit(table(spark, sf, "conversations").select(F.lower("text").alias("text")), "text"))
-    judged = cs.adjudicated(rows, "normalized", "other", lambda: model.value.score)
+    judged = cs.adjudicated_by_counts(rows, "normalized", "other", table(spark, sf, "conversations").select(F.lower("text").alias("text")), "text")
     return judged.select("utterance_id", "verdict.text", "verdict.resolved", "verdict.unresolved", "verdict.a_wins", "verdict.b_wins")
 
 

@@ -1,4 +1,4 @@
-"""Making this package importable in Python workers."""
+"""Making this package importable in Python workers, and cutting lineage."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -27,3 +27,25 @@ def ship(spark: SparkSession) -> None:
             out.write(path, path.relative_to(root.parent))
     context.addPyFile(str(archive))
     _SHIPPED.add(context.applicationId)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share; set here only if nothing set it (tests)."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    jvm_folder = spark.sparkContext.getCheckpointDir()
+    if jvm_folder:
+        return jvm_folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessella-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared folder and go on from there."""
+    folder, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)

@@ -1,4 +1,5 @@
 import difflib
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -92,3 +93,27 @@ def test_language_model(spark):
     judged = cs.adjudicated(rows, "x", "y", lambda: model.score)
     assert judged.first()["verdict"]["text"] == "a b c"
     assert cs.inspect(judged).count() == 1
+
+
+@pytest.mark.parametrize("block_chars", [1, 300, 1 << 18])
+def test_adjudication_uses_all_counts(spark, monkeypatch, block_chars):
+    """Against counts of all words and pairs by plain loops, beyond the 100,000 that were once kept."""
+    monkeypatch.setattr(cs, "BLOCK_CHARS", block_chars)
+    filler = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(2000)]
+    texts = [*filler, "zz rare pair here", "the the the", "", None, "zz rare pair here now"]
+    rows = [(i, f"zz rare {x} here", f"zz {y} pair here") for i, (x, y) in enumerate([("pair", "the"), ("the", "rare"), ("w1x1", "w1x2"), ("w1999x58 w1999x59", "w5x5")])]
+    rows += [(10, None, "a"), (11, "", ""), (12, "w3x1 w3x2 w3x3", "w3x1 q w3x3"), (12, "w3x1 w3x2 w3x3", "w3x1 q w3x3")]
+    counts = Counter()
+    for t in texts:
+        if t:
+            line = ["<s>", *t.split(), "</s>"]
+            counts.update(line)
+            counts.update(f"{x} {y}" for x, y in zip(line, line[1:], strict=False))
+    assert len(counts) > 200_000
+    model = cs.BigramModel(counts, sum(n for g, n in counts.items() if " " not in g))
+    corpus = spark.createDataFrame([(t,) for t in texts], "t string")
+    df = spark.createDataFrame(rows, "utterance_id long, x string, y string")
+    found = sorted(((r["utterance_id"], r["verdict"].asDict(True)) for r in cs.adjudicated_by_counts(df, "x", "y", corpus, "t").collect()), key=lambda r: r[0])
+    assert found == [(i, cs.adjudicate((x or "").split(), (y or "").split(), model.score)) for i, x, y in rows]
+    assert cs.adjudicated_by_counts(df.filter("utterance_id = 11"), "x", "y", corpus, "t").first()["verdict"]["text"] == ""
+    assert cs.adjudicated_by_counts(df.limit(0), "x", "y", corpus, "t").isEmpty()
