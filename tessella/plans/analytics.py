@@ -267,7 +267,7 @@ def turns(spark, sf):
     """Consecutive turns of conversations as two transcriptions of one clip."""
     rows = table(spark, sf, "conversations")
     second = rows.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("b"))
-    return rows.select("conv_id", "turn", F.col("text").alias("a")).join(second, ["conv_id", "turn"]).filter("turn % 2 = 0")
+    return rows.select("conv_id", "turn", F.col("text").alias("a")).join(second, ["conv_id", "turn"])
 
 
 @register("word_wer", None)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import text as tx
 from tessella.operators import consensus as cs
+from tessella.plans import analytics
 
 
 @pytest.mark.parametrize(
@@ -117,3 +118,19 @@ def test_adjudication_uses_all_counts(spark, monkeypatch, block_chars):
     assert found == [(i, cs.adjudicate((x or "").split(), (y or "").split(), model.score)) for i, x, y in rows]
     assert cs.adjudicated_by_counts(df.filter("utterance_id = 11"), "x", "y", corpus, "t").first()["verdict"]["text"] == ""
     assert cs.adjudicated_by_counts(df.limit(0), "x", "y", corpus, "t").isEmpty()
+
+
+def test_every_pair_of_turns_is_compared(spark, tmp_path):
+    """Pairs that begin at an odd turn too, so that every last turn is read."""
+    words = [["a b c", "a b d", "x b d", "x b", ""], ["p q", "p r"], ["alone"], ["m", "n o", "n o"]]
+    spark.createDataFrame([(c, t, text) for c, texts in enumerate(words) for t, text in enumerate(texts)], "conv_id long, turn int, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    pairs = {(c, t): (texts[t].split(), texts[t + 1].split()) for c, texts in enumerate(words) for t in range(len(texts) - 1)}
+    run = lambda name: analytics.QUERIES[name](spark, str(tmp_path)).collect()
+    rates = {k: slow_distance(a, b) / max(len(a), 1) for k, (a, b) in pairs.items()}
+    assert {(r["conv_id"], r["turn"]): r["wer"] for r in run("word_wer")} == rates and any(t % 2 for _, t in pairs)
+    found = {}
+    for r in sorted(run("align_opcodes"), key=lambda r: r["nth"]):
+        found.setdefault((r["conv_id"], r["turn"]), []).append(tuple(r)[3:])
+    assert found == {k: difflib.SequenceMatcher(a=a, b=b, autojunk=False).get_opcodes() for k, (a, b) in pairs.items()}
+    for name in ("consensus_tiers", "lm_adjudicate"):
+        assert sorted(r["utterance_id"] for r in run(name)) == sorted(f"{c}-{t}" for c, t in pairs)
