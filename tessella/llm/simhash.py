@@ -24,15 +24,17 @@ from pyspark.sql import types as T
 
 from ..runtime import ship
 from .blocks import blocks, texts
-from .common import col, cut, text_of
+from .common import col, cut, join_small, text_of
 from .components import components
 
 RADIUS = 3
 SHINGLE = 3
 SEED = 42
 HALF = 32
-#: A lookup of two halves with more than the square of this many pairs goes by hubs.
-DENSE = 64
+#: A lookup with more than the square of this many pairs goes by hubs: for one and the same
+#: half, where a fingerprint makes 32 * 32 rows of hubs, and for neighbours, where it makes 33.
+DENSE_SAME = 1024
+DENSE_NEAR = 64
 
 
 def _fingerprint(text: bytes) -> int:
@@ -55,19 +57,20 @@ def _fingerprint(text: bytes) -> int:
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the 64-bit fingerprint as a signed long."""
+    """(doc_id, digest, fp): a 64-bit hash of the text, and its fingerprint as a signed long."""
     ship(docs.sparkSession)
-    schema = T.StructType([T.StructField("doc_id", docs.select(col(id_col)).schema[0].dataType), T.StructField("fp", T.LongType())])
+    schema = T.StructType([T.StructField("doc_id", docs.select(col(id_col)).schema[0].dataType), T.StructField("digest", T.LongType()), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
         for batch in batches:
-            found = np.array([_fingerprint(t) for t in texts(batch.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["doc_id", "fp"])
+            found = np.array([_fingerprint(t) for t in texts(batch.column(2))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], schema.names)
 
-    return docs.select(col(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, schema)
+    text = text_of(text_col)
+    return docs.select(col(id_col).alias("doc_id"), F.xxhash64(text).alias("digest"), text.alias("text")).mapInArrow(run, schema)
 
 
 def _distance(a: str, b: str) -> Column:
@@ -103,13 +106,14 @@ def links(distinct: DataFrame) -> DataFrame:
     same = counts.filter("n > 1").select("key", "n", F.lit(0).cast("long").alias("bit"), F.col("key").alias("other"), F.col("n").alias("m"))
     lookups = cut(near.select(same.columns).union(same))
 
-    thin = lookups.filter(F.col("n") * F.col("m") <= DENSE * DENSE)
+    most = F.when(F.col("bit") == 0, DENSE_SAME**2).otherwise(DENSE_NEAR**2)
+    thin = lookups.filter(F.col("n") * F.col("m") <= most)
     left = table.select("key", F.col("fp").alias("v"))
     right = table.select(F.col("key").alias("other"), F.col("fp").alias("w"))
     # Within one half every pair comes twice and every fingerprint meets itself.
     pairs = thin.join(left, "key").join(right, "other").filter("bit <> 0 OR v < w").filter(_distance("v", "w") <= RADIUS).select("v", "w")
 
-    dense = lookups.filter(F.col("n") * F.col("m") > DENSE * DENSE).select(F.explode(F.array(
+    dense = lookups.filter(F.col("n") * F.col("m") > most).select(F.explode(F.array(
         F.struct(F.col("key").alias("key"), "bit", F.col("key").alias("base")), F.struct(F.col("other").alias("key"), "bit", F.col("key").alias("base"))
     )).alias("d")).select("d.*").distinct()
     around = lambda c, skip: F.concat(F.array(c), F.transform(F.filter(_bits(), lambda b: b != skip), lambda b: c.bitwiseXOR(b)))
@@ -124,6 +128,20 @@ def links(distinct: DataFrame) -> DataFrame:
     return pairs.union(through.distinct())
 
 
+def _classes(found: DataFrame) -> DataFrame:
+    """(fp, component_id, first, size) for each fingerprint of ``found``, a computed table.
+
+    component_id is the lowest id that its component holds, size the component's rows, and
+    first the row that stands for it: (doc_id, fp, digest), the lowest in that order.
+    """
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "fp", "digest"))
+    lowest = cut(found.groupBy("fp").agg(F.min(row).alias("low"), F.count("*").alias("n")))
+    labels = components(links(lowest)).withColumnRenamed("v", "fp")
+    joined = cut(lowest.join(labels, "fp", "left").select("fp", "low", "n", F.coalesce("label", "fp").alias("label")))
+    whole = cut(joined.groupBy("label").agg(F.min("low").alias("first"), F.sum("n").alias("size")))
+    return cut(joined.join(whole, "label").select("fp", F.col("first.doc_id").alias("component_id"), "first", "size"))
+
+
 def near_duplicates(docs: DataFrame, **columns) -> DataFrame:
     """(doc_id, fp, component_id) for every row; component_id is the lowest id reachable.
 
@@ -133,12 +151,7 @@ def near_duplicates(docs: DataFrame, **columns) -> DataFrame:
     table gives no rows.  Columns other than id and text are not read.
     """
     found = cut(fingerprints(docs, **columns))
-    lowest = cut(found.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    labels = components(links(lowest)).withColumnRenamed("v", "fp")
-    joined = lowest.join(labels, "fp", "left").select("fp", "low", F.coalesce("label", "fp").alias("label"))
-    lows = joined.groupBy("label").agg(F.min("low").alias("component_id"))
-    classes = cut(joined.join(cut(lows), "label").select("fp", "component_id"))
-    return found.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return found.join(_classes(found), "fp").select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -147,19 +160,28 @@ def hexadecimal(fp: Column) -> Column:
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group of near-duplicates, the one with the lowest id; columns unchanged.
+    """One document of each group of near-duplicates; columns unchanged.
 
-    Of rows that share that id one stays.  Rows without an id can't stand for a group or
-    be told apart, so they stay.
+    It is the one with the lowest id, of those that share that id the one with the lowest
+    fingerprint, then text hash; of rows alike in id and text, the one whose row as JSON
+    has the lowest SHA-256.  Rows that share an id but not a group are judged apart.  Rows
+    without an id can't stand for a group, so they stay.
+
+    Only what goes is looked for, so texts aren't shuffled while that is under
+    ``BROADCAST_ROWS`` rows of two numbers; above, rows are joined by those numbers.
     """
-    keepers = (
-        near_duplicates(docs, id_col=id_col, text_col=text_col)
-        .filter(F.col("doc_id") == F.col("component_id"))
-        .groupBy(F.col("doc_id").alias("keep_id"))
-        .agg(F.count("*").alias("keep_rows"))
-    )
-    rows = docs.select(F.struct("*").alias("doc"), col(id_col).alias("own_id"))
-    kept = rows.join(cut(keepers), F.col("own_id") == F.col("keep_id"))
-    single = kept.filter("keep_rows = 1").select("doc")
-    repeated = kept.filter("keep_rows > 1").dropDuplicates(["own_id"]).select("doc")
-    return single.union(repeated).union(rows.filter("own_id IS NULL").select("doc")).select("doc.*")
+    found = cut(fingerprints(docs, id_col=id_col, text_col=text_col))
+    shared = _classes(found).filter("size > 1").select("fp", "first")
+    is_first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("fp") == F.col("first.fp")) & (F.col("digest") == F.col("first.digest"))
+    own = found.filter("doc_id IS NOT NULL").join(shared, "fp").select(F.xxhash64("doc_id").alias("id_hash"), "digest", is_first.alias("stays"))
+    counted = own.groupBy("id_hash", "digest").agg(F.bool_or("stays").alias("stays"), F.count("*").alias("n"))
+    going = cut(counted.filter("NOT stays OR n > 1"))
+    own_hash = F.when(col(id_col).isNotNull(), F.xxhash64(col(id_col)))
+    rows = docs.select(F.struct("*").alias("doc"), own_hash.alias("own_hash"), F.xxhash64(text_of(text_col)).alias("own_digest"))
+    same = (F.col("own_hash") == F.col("id_hash")) & (F.col("own_digest") == F.col("digest"))
+    kept = join_small(rows, going, same, "left_anti").select("doc")
+    repeated = cut(going.filter("stays"))
+    if not repeated.isEmpty():
+        again = join_small(rows, repeated, same, "left_semi")
+        kept = kept.union(again.groupBy("own_hash", "own_digest").agg(F.min_by("doc", F.sha2(F.to_json("doc"), 256)).alias("doc")).select("doc"))
+    return kept.select("doc.*")

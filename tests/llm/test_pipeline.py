@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tessella.llm import common, queries, quality_rules, simhash, toxicity
+from tessella.llm import common, queries, quality_rules, toxicity
 from tests.llm.test_simhash import close, fingerprint, groups
 from tests.oracle import SF, check
 
@@ -49,4 +49,3 @@ def test_stages_one_by_one(spark):
         before = after
     assert {"doc_id", "sequence_id", "offset", "length"} <= set(before.columns) and len(corpus_pipeline.STAGES) == 5
     assert corpus_pipeline.run(spark, SF).count() == before.count()
-    assert simhash.RADIUS == 3

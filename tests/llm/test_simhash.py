@@ -56,10 +56,11 @@ def test_near_duplicates_against_brute_force(spark):
     assert all(r["component_id"] == lowest.get(label[r["fp"] % 2**64]) for r in rows)
 
 
-@pytest.mark.parametrize("dense", [2, 64])
-def test_links_connect_what_is_close(spark, monkeypatch, dense):
+@pytest.mark.parametrize("same,near", [(2, 2), (2, 64), (1024, 2), (1024, 64)])
+def test_links_connect_what_is_close(spark, monkeypatch, same, near):
     """Clusters around centres, over both halves, by pairs and by hubs."""
-    monkeypatch.setattr(simhash, "DENSE", dense)
+    monkeypatch.setattr(simhash, "DENSE_SAME", same)
+    monkeypatch.setattr(simhash, "DENSE_NEAR", near)
     rng = random.Random(5)
     values = {rng.getrandbits(64) for _ in range(200)}
     for centre in list(values)[:6]:
@@ -84,16 +85,56 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "v long, w long")).isEmpty()
 
 
+def survivors(rows):
+    """The rows that stay, by plain loops: (id, text) of one row of each group, and rows without an id."""
+    prints = [fingerprint(t) for _, t in rows]
+    label = groups(close(sorted(set(prints))), sorted(set(prints)))
+    best = {}
+    for (i, t), f in zip(rows, prints, strict=True):
+        if i is not None:
+            best.setdefault(label[f], []).append((i, signed(f), t or ""))
+    return [(None, t or "") for i, t in rows if i is None], [sorted(g)[:1] + [x for x in sorted(g) if x[:2] == min(g)[:2]] for g in best.values()]
+
+
+def check_survivors(kept, rows):
+    loose, each = survivors(rows)
+    kept = [(i, t or "") for i, t in kept]
+    assert sorted(t for i, t in kept if i is None) == sorted(t for _, t in loose)
+    kept = sorted(x for x in kept if x[0] is not None)
+    assert len(kept) == len(each)
+    left = list(kept)
+    for candidates in each:  # alike in id and fingerprint: any, but one only
+        match = [(i, t) for i, _, t in candidates if (i, t) in left]
+        assert match
+        left.remove(match[0])
+    assert not left
+
+
 def test_deduplicate(spark):
     df = documents(spark)
     kept = simhash.deduplicate(df)
     assert kept.columns == df.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    labels = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df).collect()}
-    assert sorted(i for i in ids if i is not None) == sorted({c for i, c in labels.items() if i is not None}) and ids.count(None) == 2
+    check_survivors([(r["doc_id"], r["text"]) for r in kept.collect()], [(r["doc_id"], r["text"]) for r in df.collect()])
     assert simhash.deduplicate(none_of(df)).isEmpty()
 
 
+@pytest.mark.parametrize("broadcast_rows", [0, 20_000])
+def test_deduplicate_with_shared_ids(spark, monkeypatch, broadcast_rows):
+    """Ids that stand for several texts, copies and groups; what stays doesn't depend on partitions."""
+    from tessella.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast_rows)
+    rng = random.Random(9)
+    a, b, c, d = (" ".join(f"w{rng.randint(0, 9999)}" for _ in range(30)) for _ in range(4))
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, b), (7, c), (7, c), (8, d), (8, d), (None, a), (None, a), (9, None), (9, ""), (10, None)]
+    df = spark.createDataFrame([(*r, n, "x") for n, r in enumerate(rows)], "doc_id long, text string, n long, fp string")
+    kept = simhash.deduplicate(df).collect()
+    found = sorted(((r["doc_id"], r["text"]) for r in kept), key=str)
+    assert found in [sorted([(1, a), (5, b), (7, c), (8, d), (None, a), (None, a), (9, empty)], key=str) for empty in (None, "")]
+    check_survivors(found, rows)
+    assert sorted(kept, key=str) == sorted(simhash.deduplicate(df.repartition(5, "n")).collect(), key=str)
+
+
 def test_long_texts_in_blocks(monkeypatch):
     from tessella.llm import blocks
 
@@ -101,4 +142,3 @@ def test_long_texts_in_blocks(monkeypatch):
     whole = simhash._fingerprint(text)
     monkeypatch.setattr(simhash, "blocks", lambda t: blocks.blocks(t, 50))
     assert simhash._fingerprint(text) == whole == fingerprint(text.decode())
-    assert simhash.hexadecimal is not None
