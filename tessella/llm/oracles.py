@@ -6,7 +6,7 @@ WORD = r"'[^\x20\x09-\x0D]+'"
 
 OP8 = rf"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), {WORD})) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), {WORD})) AS BIGINT) AS size FROM documents
 ), totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
 ), weighed AS (
@@ -20,15 +20,23 @@ WITH sized AS (
   SELECT *, max(CASE WHEN budget_left / weight_left * w <= 3 * source_size THEN budget_left / weight_left END) OVER () AS level FROM placed
 ), targets AS (
   SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), coalesce(level * w, CAST(3 * source_size AS DOUBLE))) AS target FROM levelled
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source, doc_id, digest) - 1 AS nth FROM sized
+), hashed AS (
+  SELECT *, md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || nth || ':' || digest) AS h FROM numbered
 ), rated AS (
-  SELECT d.doc_id, d.size, t.source_size, t.target,
-    CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-    CAST('0x' || substr(md5('{mixing.SEED}:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) / {float(2**mixing.DRAW_BITS)!r}::DOUBLE AS u
-  FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
+    CAST('0x' || substr(h, 1, {mixing.DRAW_DIGITS}) AS BIGINT) AS first, CAST('0x' || substr(h, {mixing.DRAW_DIGITS + 1}, {mixing.DRAW_DIGITS}) AS BIGINT) AS step
+  FROM hashed d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), extras AS (
+  SELECT source, salt, abs(max(floor(rate) * source_size) + sum(CASE WHEN CAST((first + salt * step) % {mixing.DRAWS} AS DOUBLE) / {float(mixing.DRAWS)!r}::DOUBLE < rate - floor(rate) THEN size ELSE 0 END) - max(target)) AS off
+  FROM rated, (SELECT unnest(range(0, {mixing.SALTS})) AS salt) GROUP BY source, salt
+), salts AS (
+  SELECT source, salt FROM extras QUALIFY row_number() OVER (PARTITION BY source ORDER BY off, salt) = 1
 )
 SELECT doc_id, size, source_size, target,
-  CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM rated
+  CAST(size * (floor(rate) + CASE WHEN CAST((first + salt * step) % {mixing.DRAWS} AS DOUBLE) / {float(mixing.DRAWS)!r}::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM rated r JOIN salts s ON r.source IS NOT DISTINCT FROM s.source
 """
 
 

@@ -68,28 +68,68 @@ def test_targets(spark, sizes):
     assert found == pytest.approx(targets(sizes))
 
 
+def draws(seed, i, nth, text):
+    import hashlib
+
+    digest = hashlib.md5((text or "").encode()).hexdigest()
+    h = hashlib.md5(f"{seed}:{'null' if i is None else i}:{nth}:{digest}".encode()).hexdigest()
+    return int(h[:13], 16), int(h[13:26], 16)
+
+
+def mixed_by_hand(rows, seed=mixing.SEED):
+    """copies of (id, text, source) rows, by plain loops; sorted (id, text, source, copies)."""
+    sizes, seen, drawn = {}, {}, []
+    for i, t, s in rows:
+        nth = seen[i, t or "", s] = seen.get((i, t or "", s), -1) + 1
+        size = len((t or "").encode().split())
+        sizes[s] = sizes.get(s, 0) + size
+        drawn.append((i, t, s, size, *draws(seed, i, nth, t)))
+    expected, out = targets(sizes), []
+    for source in sizes:
+        rate = expected[source] / sizes[source] if sizes[source] else 0.0
+        hit = lambda r, salt: (r[4] + salt * r[5]) % 16**13 / 16.0**13 < rate - int(rate)  # noqa: B023, E731
+        own = [r for r in drawn if r[2] == source]
+        off = [abs(int(rate) * sizes[source] + sum(r[3] for r in own if hit(r, salt)) - expected[source]) for salt in range(mixing.SALTS)]
+        best = off.index(min(off))
+        out += [(r[0], r[1], r[2], int(rate) + hit(r, best)) for r in own]
+    return sorted(out, key=str)
+
+
 def test_mix(spark):
     df = documents(spark)
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in df.collect()]
     plan = mixing.mix_plan(df).collect()
-    assert len(plan) == df.count()
-    sizes = {}
-    for r in plan:
-        sizes[r["doc"]["source"]] = sizes.get(r["doc"]["source"], 0) + r["size"]
-        assert r["size"] == len((r["doc"]["text"] or "").split())
-    expected = targets(sizes)
-    for r in plan:
-        source = r["doc"]["source"]
-        rate = expected[source] / sizes[source] if sizes[source] else 0
-        assert r["target"] == pytest.approx(expected[source]) and int(rate) <= r["copies"] <= int(rate) + (rate % 1 > 0)
+    assert sorted([(r["doc"]["doc_id"], r["doc"]["text"], r["doc"]["source"], r["copies"]) for r in plan], key=str) == mixed_by_hand(rows)
+    slim = mixing.mix_plan(df, keep=False).collect()
+    assert sorted((str(r["mix_id"]), r["target"], r["copies"]) for r in slim) == sorted((str(r["mix_id"]), r["target"], r["copies"]) for r in plan)
+    assert sorted(r["size"] for r in slim) == sorted(len((t or "").encode().split()) for _, t, _ in rows)
     mixed = mixing.mix(df)
     assert mixed.columns == df.columns and mixed.count() == sum(r["copies"] for r in plan)
-    assert mixing.mix(none_of(df)).isEmpty()
-
-
-def test_mix_comes_near_its_targets(spark):
-    df = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
-    rows = mixing.mix_plan(df).groupBy("doc.source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target")).collect()
-    assert all(abs(r["taken"] / r["target"] - 1) < 0.05 for r in rows)
+    assert mixing.mix(none_of(df)).isEmpty() and mixing.mix_plan(none_of(df), keep=False).isEmpty()
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 20_000])
+def test_repeated_rows_and_null_ids_draw_apart(spark, monkeypatch, broadcast_rows):
+    """Without ids, with one id for all, and with one text for all: each source still comes near its target."""
+    from tessella.llm import common
+
+    monkeypatch.setattr(common, "BROADCAST_ROWS", broadcast_rows)
+    n = F.col("id")
+    text = F.concat(F.lit("a b c "), F.when(n % 4 > 0, n.cast("string")).otherwise(F.lit("same")))
+    df = spark.range(0, 3000, numPartitions=3).select(F.when(n % 2 == 0, F.lit(7)).cast("long").alias("doc_id"), text.alias("text"), F.concat(F.lit("s"), n % 3).alias("source"))
+    rows = mixing.mix_plan(df, keep=False).groupBy("target").agg(F.sum(F.col("size") * F.col("copies")).alias("taken")).collect()
+    assert len(rows) == 3 and all(abs(r["taken"] / r["target"] - 1) < 0.01 for r in rows)
+    taken = lambda d: sorted((str(r["doc_id"]), r["text"]) for r in mixing.mix(d).collect())
+    assert taken(df) == taken(df.repartition(5))
+
+
+def test_mix_comes_near_its_targets_with_few_documents(spark):
+    """20 sources of 500 documents of very uneven length: within 2 %."""
+    n = F.col("id")
+    length = F.pmod(F.xxhash64("id"), F.lit(60)) * F.when(n % 40 < 20, 40).otherwise(1) + 1
+    df = spark.range(10_000).select(n.alias("doc_id"), F.repeat(F.lit("w "), length.cast("int")).alias("text"), F.concat(F.lit("s"), n % 20).alias("source"))
+    rows = mixing.mix_plan(df).select(F.col("doc.source"), F.size(F.split(F.trim("doc.text"), " ")).alias("size"), "target", "copies").groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target")).collect()
+    assert len(rows) == 20 and max(abs(r["taken"] / r["target"] - 1) for r in rows) < 0.02
 
 
 # Quality rules
