@@ -1,4 +1,6 @@
 import glob
+import random
+import time
 
 import pytest
 import zstandard
@@ -12,9 +14,16 @@ def pages(spark):
     return spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, digest string")
 
 
-@pytest.mark.parametrize("least", [0, 9])
-def test_round_trip(spark, least):
-    df = pages(spark)
+def awkward_ids(spark):
+    """String ids with line breaks, spaces, percent signs and the names of what isn't there."""
+    ids = ["a\r\nX: y", "", " ", "None", None, "a%0D", "<b>", "é\u2028", "5", "urn:nopage:"]
+    return spark.createDataFrame([(i, f"http://h/{n}", html) for n, i in enumerate(ids) for html in (f"p{n}", "same")], "page_id string, url string, html string")
+
+
+@pytest.mark.parametrize("least,whole,make", [(0, 1 << 26, pages), (9, 1 << 26, pages), (0, 100, pages), (0, 1 << 26, awkward_ids)])
+def test_round_trip(spark, monkeypatch, least, whole, make):
+    monkeypatch.setattr(warc, "WHOLE_BYTES", whole)
+    df = make(spark)
     first = {}
     for r in df.collect():
         payload = (r["html"] or "").encode()
@@ -39,6 +48,46 @@ def test_payloads_come_back(spark, tmp_path):
     assert data[:4] == warc.DICTIONARY_MAGIC.to_bytes(4, "little")
 
 
+def test_large_archives_in_chunks(spark, tmp_path, monkeypatch):
+    """Archives over several splits, of more than a chunk, and one that ends with a separator."""
+    monkeypatch.setattr(warc, "WHOLE_BYTES", 1000)
+    rng = random.Random(3)
+    for n in range(3):
+        own = [(i, "u", rng.randbytes(5000), None) for i in range(n * 1000, n * 1000 + 500)]
+        tail = warc.frame(0x184D2A50, b"PP") if n == 1 else b""
+        (tmp_path / f"{n}.warc{'.zst' * (n == 2)}").write_bytes(archive(*own) + tail)
+    monkeypatch.setattr("tessella.llm.bytefiles.CHUNK", 70_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "600000")
+    try:
+        found = warc.read(spark, str(tmp_path), payloads=False, glob="*.warc*").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(int(r["page_id"]) for r in found) == [n * 1000 + i for n in range(3) for i in range(500)]
+
+
+def test_reader_is_linear():
+    """Eight times the records take about eight times the work: what a decoder leaves is bounded."""
+    copied = []
+
+    def work(n):
+        data = archive(*[(i, "u", b"%d " % i * 300, None) for i in range(n)])
+        began = time.process_time()
+        assert sum(1 for _ in warc.frames([data])) == n
+        copied.append(time.process_time() - began)
+
+    work(100)
+    work(1000)
+    work(8000)
+    assert copied[2] < 24 * max(copied[1], 0.01)
+
+
+def test_dictionary_is_trained():
+    rng = random.Random(1)
+    rows = [(i, f"http://h/{i}", " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) + str(rng.randint(0, 99)) for _ in range(60)).encode(), None) for i in range(300)]
+    data = archive(*rows)
+    assert data[8:12] == (0xEC30A437).to_bytes(4, "little") and len(list(warc.frames([data]))) == 300
+
+
 def test_empty_table(spark):
     assert warc.round_trip(none_of(pages(spark))).isEmpty()
 
@@ -50,13 +99,14 @@ def archive(*records):
 def test_reader_takes_what_the_format_allows():
     records = [(1, "u", b"x" * 1000, None), (2, "u", b"y" * 50, None), (3, "u", b"x" * 1000, 1)]
     data = archive(*records)
-    assert [warc.parse(r)["page_id"] for r in warc.frames(data)] == ["1", "2", "3"]
-    assert list(warc.frames(data + warc.frame(0x184D2A50, b"anything"))) == list(warc.frames(data))
+    assert [warc.parse(r)["page_id"] for r in warc.frames([data])] == ["1", "2", "3"]
+    assert list(warc.frames([data + warc.frame(0x184D2A50, b"anything")])) == list(warc.frames([data]))
     plain = zstandard.ZstdCompressor().compress(warc.record(9, "u", b"z"))
-    assert [warc.parse(r)["payload"] for r in warc.frames(plain)] == [b"z"]
+    assert [warc.parse(r)["payload"] for r in warc.frames([plain])] == [b"z"]
     size = int.from_bytes(data[4:8], "little")
     packed = zstandard.ZstdCompressor().compress(data[8 : 8 + size])
-    assert list(warc.frames(warc.frame(warc.DICTIONARY_MAGIC, packed) + data[8 + size :])) == list(warc.frames(data))
+    assert list(warc.frames(data[i : i + 7] for i in range(0, len(data), 7))) == list(warc.frames([data]))
+    assert list(warc.frames([warc.frame(warc.DICTIONARY_MAGIC, packed) + data[8 + size :]])) == list(warc.frames([data]))
 
 
 def test_reader_refuses_damage():
@@ -64,7 +114,7 @@ def test_reader_refuses_damage():
     size = 8 + int.from_bytes(data[4:8], "little")
     for bad in (data[:-3], data + b"xx", data[size:], data + data, data[:size] + b"\0" * 20):
         with pytest.raises(warc.WarcError):
-            list(warc.frames(bad))
+            list(warc.frames([bad]))
     good = warc.record(1, "u", b"payload")
     for old, new in ((b"payload\r\n", b"PAYLOAD\r\n"), (b"WARC/1.1", b"WARC/9"), (b"WARC-Date", b"X-Date"), (b"\r\n\r\n", b"\r\n", ), (b"payload", b"pay")):
         with pytest.raises(warc.WarcError):
