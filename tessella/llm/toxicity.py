@@ -5,14 +5,14 @@ each term and, for each pair, the product of two short vectors, so it learns tha
 insult and a mention of a group together are worse than their sum.
 
 It is fitted on a bounded, hash-ordered sample of labelled documents (``MAX_TRAIN``).
-The ``MAX_TERMS`` buckets that tell the classes apart best in that sample are kept, which
-bounds the model and leaves out rare terms that only add noise in long texts.  Scoring
-reads whole texts, one pass, without a shuffle.
+Every term that tells the classes apart in that sample is in the model, and so is every
+term that tells them apart among the documents with a term of the first kind that leans
+to toxic: words that only matter beside others.  The rest, mostly rare, would only add
+noise in long texts.  Scoring reads whole texts, one pass, without a shuffle.
 """
 
 from __future__ import annotations
 
-import functools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -25,33 +25,35 @@ from ..runtime import ship
 from .common import col, cut, text_of
 
 MAX_TRAIN = 16_384
-MAX_TERMS = 1_024
+#: A term is in so many sampled documents, at least; with few toxic ones it is fewer, two at least.
 MIN_DOCS = 8
-#: A kept term's shares in the two classes differ by so many standard deviations.
-MIN_DEVIATIONS = 5.0
+#: A term's shares in the two classes differ by so many standard deviations.
+MIN_DEVIATIONS = 4.0
 BUCKETS = 1 << 22
 RANK = 8
+# Set, like MIN_DEVIATIONS, by the log loss on a quarter of the labels (remainder 3), fitted on two others (0 and 1).
 STEPS = 600
 BATCH = 1_024
-RATE = 0.06
-DECAY = 1e-5
+RATE = 0.03
+DECAY = 1e-3
 #: Share of terms left out at random in each step, so that each learns to tell alone.
 DROP = 0.25
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 KEPT_WORDS = 100_000
 #: Everything in ASCII that is not a letter separates words.
-NOT_LETTERS = {i: " " for i in range(128) if not chr(i).isalpha()}
+NOT_LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
-def terms(word: str) -> list[int]:
+def terms(word: bytes) -> list[int]:
     """The buckets of a word: of itself and of its beginnings."""
+    word = word.decode("utf-8", "replace")
     found = ["=" + word, *("^" + word[:n] for n in PREFIXES if len(word) > n)]
-    return [zlib.crc32(t.encode("utf-8", "surrogatepass")) % BUCKETS for t in found]
+    return [zlib.crc32(t.encode()) % BUCKETS for t in found]
 
 
-def words(text: str) -> set[str]:
-    return set(text.lower().translate(NOT_LETTERS).split())
+def words(text: str) -> set[bytes]:
+    return set(text.lower().encode("utf-8", "replace").translate(NOT_LETTERS).split())
 
 
 @dataclass(frozen=True)
@@ -62,7 +64,10 @@ class Model:
     buckets: tuple[int, ...] = ()
     weight: tuple[float, ...] = ()
     factors: tuple[tuple[float, ...], ...] = ()
-    places: dict[int, int] = field(default_factory=dict, compare=False)
+    #: A word's places in ``buckets``, learnt by and kept in each Python worker.
+    known: dict[bytes, tuple[int, ...]] = field(default_factory=dict, compare=False, repr=False)
+    lookup: dict[int, int] = field(default_factory=dict, compare=False, repr=False)
+    arrays: list = field(default_factory=list, compare=False, repr=False)
 
     def score(self, found: list[list[int]]):
         """Probabilities for lists of places in ``buckets``."""
@@ -71,66 +76,75 @@ class Model:
         sizes = np.array([len(x) for x in found], np.int64)
         total = np.full(len(found), self.bias)
         if self.buckets and sizes.sum():
+            if not self.arrays:
+                self.arrays.extend((np.array(self.weight), np.array(self.factors).T.copy()))
+            w, v = self.arrays
             flat = np.fromiter((p for x in found for p in x), np.int64)
             row = np.repeat(np.arange(len(found)), sizes)
-            w, v = np.array(self.weight), np.array(self.factors)
             total += np.bincount(row, w[flat], len(found))
-            for k in range(v.shape[1]):
-                s = np.bincount(row, v[flat, k], len(found))
-                total += 0.5 * (s * s - np.bincount(row, v[flat, k] ** 2, len(found)))
+            for factor in v:
+                s = np.bincount(row, factor[flat], len(found))
+                total += 0.5 * (s * s - np.bincount(row, factor[flat] ** 2, len(found)))
         return 1 / (1 + np.exp(-np.clip(total, -40, 40)))
 
-
-@functools.lru_cache(maxsize=1)
-def _known(buckets: tuple[int, ...]) -> dict[str, tuple[int, ...]]:
-    return {}
-
-
-def places(text: str, model: Model) -> list[int]:
-    """The places of a text's terms in the model's buckets."""
-    known, own = _known(model.buckets), set()
-    if len(known) > KEPT_WORDS:
-        known.clear()
-    for word in words(text):
-        at = known.get(word)
-        if at is None:
-            at = tuple(p for t in terms(word) if (p := model.places.get(t)) is not None)
-            known[word] = at
-        own.update(at)
-    return sorted(own)
+    def places(self, text: str) -> list[int]:
+        """The places of a text's terms in ``buckets``."""
+        known, own = self.known, words(text)
+        if new := own.difference(known):
+            if len(known) > KEPT_WORDS:
+                known.clear()
+                new = own
+            if not self.lookup:
+                self.lookup.update(zip(self.buckets, range(len(self.buckets)), strict=True))
+            for word in new:
+                known[word] = tuple(p for t in terms(word) if (p := self.lookup.get(t)) is not None)
+        return sorted(set().union(*set(map(known.__getitem__, own))))
 
 
 def train(rows: list[tuple[list[int], int]], buckets: tuple[int, ...]) -> Model:
-    """Fit by Adam on logistic loss, over rows of (places, label)."""
+    """Fit by Adam on logistic loss, over rows of (places, label); ``buckets`` in order."""
     import numpy as np
 
-    y = np.array([label for _, label in rows], np.float32)
+    y = np.array([label for _, label in rows], np.float64)
     if not len(y) or not buckets:
         return Model(-40.0 if not y.sum() else float(np.log(y.mean() / max(1 - y.mean(), 1e-6))))
-    x = np.zeros((len(rows), len(buckets)), np.float32)
-    for i, (at, _) in enumerate(rows):
-        x[i, at] = 1
+    sizes = np.array([len(at) for at, _ in rows], np.int64)
+    flat, starts, n = np.fromiter((p for at, _ in rows for p in at), np.int64, sizes.sum()), np.cumsum(sizes) - sizes, len(buckets)
     rng = np.random.default_rng(0)
     rate = np.clip(y.mean(), 1e-4, 1 - 1e-4)
-    state = [np.array([np.log(rate / (1 - rate))]), np.zeros(len(buckets)), rng.normal(0, 0.02, (len(buckets), RANK))]
+    state = [np.array([np.log(rate / (1 - rate))]), np.zeros(n), rng.normal(0, 0.02, (RANK, n))]
     first, second = [np.zeros_like(p) for p in state], [np.zeros_like(p) for p in state]
     for step in range(1, STEPS + 1):
-        pick = rng.integers(0, len(y), min(BATCH, len(y)))
-        part, (bias, w, v) = x[pick], state
-        at = np.flatnonzero(part)
-        part.ravel()[at[rng.random(len(at)) < DROP]] = 0
-        sums = part @ v
-        z = bias + part @ w + 0.5 * ((sums * sums).sum(1) - part @ (v * v).sum(1))
+        pick, (bias, w, v) = rng.integers(0, len(y), min(BATCH, len(y))), state
+        row = np.repeat(np.arange(len(pick)), sizes[pick])
+        at = flat[np.repeat(starts[pick] - np.cumsum(sizes[pick]) + sizes[pick], sizes[pick]) + np.arange(len(row))]
+        left = rng.random(len(at)) >= DROP
+        row, at = row[left], at[left]
+        by_row = lambda x: np.bincount(row, x, len(pick))  # noqa: B023, E731
+        by_term = lambda x: np.bincount(at, x, n)  # noqa: B023, E731
+        sums = [by_row(f[at]) for f in v]
+        z = bias + by_row(w[at]) + 0.5 * sum(s * s - by_row(f[at] ** 2) for s, f in zip(sums, v, strict=True))
         off = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[pick]) / len(pick)
-        slope = part.T @ off
-        grads = [np.array([off.sum()]), slope + DECAY * w, part.T @ (off[:, None] * sums) - slope[:, None] * v + DECAY * v]
+        slope = by_term(off[row])
+        pull = np.array([by_term((off * s)[row]) for s in sums])
+        grads = [np.array([off.sum()]), slope + DECAY * w, pull - slope * v + DECAY * v]
         pace = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
         for p, g, a, b in zip(state, grads, first, second, strict=True):
             a += 0.1 * (g - a)
             b += 0.01 * (g * g - b)
             p -= pace * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
     bias, w, v = state
-    return Model(float(bias[0]), buckets, tuple(w.tolist()), tuple(map(tuple, v.tolist())), {b: i for i, b in enumerate(buckets)})
+    return Model(float(bias[0]), buckets, tuple(w.tolist()), tuple(map(tuple, v.T.tolist())))
+
+
+def telling(seen: DataFrame, total: int, toxic: int) -> DataFrame:
+    """``seen`` (term, bad, n) of the terms whose shares in the classes differ enough, with ``worse``."""
+    least = min(MIN_DOCS, max(2, toxic // 4))
+    share, clean = F.col("n") / total, total - toxic
+    differ = F.col("bad") / toxic - (F.col("n") - F.col("bad")) / clean
+    spread = (1 / toxic + 1 / clean) ** 0.5  # the difference of two shares has this deviation for each of theirs
+    enough = F.abs(differ) >= MIN_DEVIATIONS * spread * F.sqrt(share * (1 - share) + 1e-9)
+    return seen.filter((F.col("n") >= least) & enough).withColumn("worse", differ > 0)
 
 
 def held_out(key: Column) -> Column:
@@ -163,12 +177,22 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     total, toxic = read.agg(F.count("*"), F.sum("y")).first()
     if not toxic or toxic == total:
         return train([([], 1)] if toxic else [], ())
-    seen = read.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("bad"), F.count("*").alias("n")).filter(F.col("n") >= MIN_DOCS)
-    share = F.col("n") / total
-    telling = F.abs(F.col("bad") / toxic - (F.col("n") - F.col("bad")) / (total - toxic)) / F.sqrt(share * (1 - share) + 1e-9)
-    spread = (1 / toxic + 1 / (total - toxic)) ** 0.5  # the difference of two shares has this deviation for each of theirs
-    best = seen.filter(telling >= MIN_DEVIATIONS * spread).orderBy(telling.desc(), "term").limit(MAX_TERMS).collect()
-    buckets = tuple(sorted(r["term"] for r in best))
+    counted = lambda rows: rows.select("y", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
+    found = telling(counted(read), total, toxic).select("term", "worse").collect()  # of the terms of max_train documents
+    buckets = {r["term"] for r in found}
+    worse = spark.sparkContext.broadcast({r["term"] for r in found if r["worse"]})
+
+    def beside(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            yield batch.filter(pa.array([not worse.value.isdisjoint(x) for x in batch.column(2).to_pylist()], pa.bool_()))
+
+    near = read.mapInArrow(beside, read.schema)
+    n, bad = near.agg(F.count("*"), F.sum("y")).first()
+    if bad and bad < n:
+        buckets |= {r["term"] for r in telling(counted(near), n, bad).select("term").collect()}
+    buckets = tuple(sorted(buckets))
     chosen = spark.sparkContext.broadcast({b: i for i, b in enumerate(buckets)})
 
     def pick(batches: Iterator) -> Iterator:
@@ -198,7 +222,7 @@ def score(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     def rate(column):
         import pandas as pd
 
-        return pd.Series(sent.value.score([places(t, sent.value) for t in column]))
+        return pd.Series(sent.value.score(list(map(sent.value.places, column))))
 
     found = docs.select(F.struct("*").alias("doc"), col(id_col).alias("doc_id"), rate(text_of(text_col)).alias("score"))
     return found.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

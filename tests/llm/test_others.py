@@ -201,12 +201,56 @@ def test_learns_an_interaction(spark):
     assert scored.count() > 500 and wrong / scored.count() < 0.02
 
 
+def test_score_by_hand():
+    """The sum over all pairs, written out; and a text's places by a plain search."""
+    import itertools
+    import math
+
+    rng = random.Random(4)
+    buckets = tuple(sorted({b for w in (b"insult", b"group", b"villagers") for b in toxicity.terms(w)}))
+    n = len(buckets)
+    m = toxicity.Model(-1.5, buckets, tuple(rng.gauss(0, 1) for _ in range(n)), tuple(tuple(rng.gauss(0, 1) for _ in range(3)) for _ in range(n)))
+    found = [[], [0], list(range(n)), [1, 3, 5], [n - 1]]
+    for at, score in zip(found, m.score(found), strict=True):
+        z = m.bias + sum(m.weight[i] for i in at) + sum(sum(a * b for a, b in zip(m.factors[i], m.factors[j], strict=True)) for i, j in itertools.combinations(at, 2))
+        assert score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-12)
+    for text in ("An INSULT-group!", "insul grou vill", "", "villagers villagers2", "\ud800 insult"):
+        plain = {t for w in "".join(c if c.isalpha() or ord(c) > 127 else " " for c in text.lower()).split() for t in toxicity.terms(w.encode("utf-8", "replace"))}
+        assert m.places(text) == [i for i, b in enumerate(buckets) if b in plain]
+
+
+def test_terms_that_matter_beside_others(spark):
+    """A word as frequent in both classes flips what an insult means; no weight of its own would tell."""
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(4000):
+        words = [f"w{rng.randint(0, 50)}" for _ in range(15)]
+        insult, praised = rng.random() < 0.4, rng.random() < 0.5
+        toxic = insult and not praised or (not insult and praised and rng.random() < 0.4)
+        rows.append((i, " ".join(words + ["scoundrel"] * insult + ["lovable"] * praised)))
+        labels.append((i, int(toxic)))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    scored = toxicity.score(docs, toxicity.fit(docs, known)).filter("doc.text LIKE '%scoundrel%'").join(known, "doc_id")
+    assert scored.filter("predicted <> toxic").count() / scored.count() < 0.02
+
+
+def test_few_labels(spark):
+    """Seven toxic documents of 150 are enough for a word that only they hold."""
+    rng = random.Random(6)
+    text = lambda bad: " ".join([f"w{rng.randint(0, 300)}" for _ in range(30)] + ["scoundrel"] * bad)
+    rows = [(i, text(i % 20 == 1)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([(i, int(i % 20 == 1)) for i in range(200)], "doc_id long, toxic int")
+    scored = toxicity.score(docs, toxicity.fit(docs, known)).join(known, "doc_id")
+    assert scored.filter("predicted <> toxic").isEmpty()
+
+
 def test_scores_on_awkward_rows(spark):
     df = documents(spark)
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (3, None), (5, 0), (5, 1)], "doc_id long, toxic int")
     rows = toxicity.score(df, toxicity.fit(df, labels)).collect()
     assert len(rows) == df.count() and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
-    assert all(r["score"] == 0 or r["score"] < 1e-9 for r in toxicity.score(df, toxicity.fit(df, none_of(labels))).collect())
+    assert all(r["score"] < 1e-9 for r in toxicity.score(df, toxicity.fit(df, none_of(labels))).collect())
     assert toxicity.keep_civil(df, none_of(labels)).columns == df.columns and toxicity.keep_civil(none_of(df), labels).isEmpty()
 
 
@@ -223,11 +267,15 @@ def test_labels_of_held_out_rows_are_not_used(spark):
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-@pytest.mark.parametrize("block_ids", [7, 1 << 20])
-def test_token_counts(spark, tmp_path, block_ids):
+@pytest.mark.parametrize("block_bytes", [50, 1 << 20])
+def test_token_scan(spark, tmp_path, block_bytes):
     df, path = documents(spark), str(tmp_path / "t")
     token_scan.write(df, path, RANKS, public_tokenizers.PATTERN)
-    rows = token_scan.stitch(token_scan.scan(spark, path, block_ids=block_ids)).collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = token_scan.stitch(token_scan.cut(token_scan.scan(spark, path, block_bytes=block_bytes))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     encode = token_scan._encoding(RANKS, public_tokenizers.PATTERN).encode_ordinary
     assert sorted(r["n_tokens"] for r in rows) == sorted(len(encode(r["text"] or "")) for r in df.collect()) and all(r["ended"] for r in rows)
     by_file = {}
@@ -239,14 +287,42 @@ def test_token_counts(spark, tmp_path, block_ids):
         assert all(a["start"] + a["n_tokens"] + 1 == b["start"] for a, b in zip(found, found[1:], strict=False)) and found[0]["start"] == 0
 
 
-def test_files_of_others(spark, tmp_path):
-    """No end at the end, ends in a row, an empty file, and blocks without ends."""
-    cases = {"a": [5, 6, 2, 2, 7] + [8] * 10 + [2, 9], "b": [], "c": [2], "d": [4] * 9}
+def test_counts_by_document(spark, tmp_path):
+    documents(spark).write.parquet(str(tmp_path / "d"))
+    df = spark.read.parquet(str(tmp_path / "d"))
+    encode = token_scan._encoding(RANKS, public_tokenizers.PATTERN).encode_ordinary
+    expected = sorted((str(r["doc_id"]), len(encode(r["text"] or ""))) for r in df.collect())
+    for _ in range(2):
+        rows = token_scan.count_tokens(df, RANKS, public_tokenizers.PATTERN)
+        assert rows.columns == ["doc_id", "n_tokens"] and sorted((str(r["doc_id"]), r["n_tokens"]) for r in rows.collect()) == expected
+
+
+@pytest.mark.parametrize("id_type,end", [("<u4", 2), (">u4", 2), ("<u2", 2), ("u1", 2), ("<u4", 0x50505050), ("<u8", 0x7F)])
+@pytest.mark.parametrize("split", [12, 1 << 20])
+def test_files_of_others(spark, tmp_path, id_type, end, split):
+    """No end at the end, ends in a row, an empty file, blocks and splits without ends or across ids."""
+    rng, width = random.Random(7), np.dtype(id_type).itemsize
+    cases = {"a": [5, 6, end, end, 7] + [8] * 10 + [end, 9], "b": [], "c": [end], "d": [4] * 9, "e": [rng.choice([end, 80, 0x50, 3]) for _ in range(500)], "f": [0x50] * 30, "g": [end] * 40}
+    expected = []
     for name, ids in cases.items():
-        (tmp_path / f"{name}.bin").write_bytes(np.array(ids, "<u4").tobytes())
-    rows = token_scan.stitch(token_scan.scan(spark, str(tmp_path), end_id=2, id_type="<u4", block_ids=4, glob="*.bin")).collect()
-    found = sorted((r["file"][-5], r["doc_index"], r["start"], r["n_tokens"], r["ended"]) for r in rows)
-    assert found == [("a", 0, 0, 2, True), ("a", 1, 3, 0, True), ("a", 2, 4, 11, True), ("a", 3, 16, 1, False), ("c", 0, 0, 0, True), ("d", 0, 0, 9, False)]
+        (tmp_path / f"{name}.bin").write_bytes(np.array(ids, id_type).tobytes())
+        start = 0
+        for nth, stop in enumerate([i for i, x in enumerate(ids) if x == end] + [len(ids)] * (ids[-1:] != [end] and len(ids) > 0)):
+            expected.append((name, nth, start, stop - start, stop < len(ids)))
+            start = stop + 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        scanned = token_scan.cut(token_scan.scan(spark, str(tmp_path), end_id=end, id_type=id_type, block_bytes=40, glob="*.bin"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = token_scan.stitch(scanned, width=width).collect()
+    assert sorted((r["file"][-5], r["doc_index"], r["start"], r["n_tokens"], r["ended"]) for r in rows) == expected
+
+
+def test_files_that_are_not_whole(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"abc")
+    with pytest.raises(Exception, match="whole number"):
+        token_scan.stitch(token_scan.scan(spark, str(tmp_path), glob="*.bin")).collect()
 
 
 def test_no_documents(spark):
