@@ -57,20 +57,18 @@ def _rules_sql(table: str) -> str:
     sum(sum(n)) OVER (PARTITION BY {k}metric ORDER BY bucket ROWS UNBOUNDED PRECEDING) AS upto, sum(sum(n)) OVER (PARTITION BY {k}metric) AS rows_
   FROM sketch GROUP BY {k}metric, bucket
 ), {level}_quartiles AS (
-  SELECT {k}metric, max(rows_) AS rows_, min(CASE WHEN upto >= 0.5 * rows_ THEN bucket END) AS mid, min(CASE WHEN upto >= 0.75 * rows_ THEN bucket END) AS high
+  SELECT {k}metric, max(rows_) AS rows_, min(CASE WHEN upto >= 0.25 * rows_ THEN bucket END) AS low, min(CASE WHEN upto >= 0.5 * rows_ THEN bucket END) AS mid
   FROM {level}_ranked GROUP BY {k}metric
 ), {level}_ends AS (
-  SELECT {k}metric, rows_, CASE WHEN mid = {q.ZERO_BUCKET} THEN 0 ELSE pow({q.GAMMA}::DOUBLE, mid) END AS mid, CASE WHEN high = {q.ZERO_BUCKET} THEN 0 ELSE pow({q.GAMMA}::DOUBLE, high) END AS high
+  SELECT {k}metric, rows_, CASE WHEN low = {q.ZERO_BUCKET} THEN 0 ELSE pow({q.GAMMA}::DOUBLE, low) END AS low, CASE WHEN mid = {q.ZERO_BUCKET} THEN 0 ELSE pow({q.GAMMA}::DOUBLE, mid) END AS mid
   FROM {level}_quartiles
 ), {level}_fences AS (
   SELECT {k}max(rows_) AS rows_, {limits}
-  FROM (SELECT *, high + {q.FENCE}::DOUBLE * greatest(high - mid, CASE metric {spread} END) AS fence FROM {level}_ends) {group}
+  FROM (SELECT *, mid + {q.FENCE}::DOUBLE * greatest(mid - low, CASE metric {spread} END) AS fence FROM {level}_ends) {group}
 )"""
 
-    chosen = ", ".join(
-        f"CASE WHEN o.rows_ >= {q.GROUP_MIN_ROWS} THEN o.{m}_limit WHEN w.rows_ >= {q.GROUP_MIN_ROWS} THEN w.{m}_limit ELSE (SELECT {m}_limit FROM all_fences) END AS {m}_limit"
-        for m in q.METRICS
-    )
+    drawn = lambda n, own, to: f"(CAST({n} AS DOUBLE) * {own} + {q.PRIOR_ROWS} * {to}) / ({n} + {q.PRIOR_ROWS})"
+    chosen = ", ".join(f"{drawn('o.rows_', f'o.{m}_limit', drawn('w.rows_', f'w.{m}_limit', f'(SELECT {m}_limit FROM all_fences)'))} AS {m}_limit" for m in q.METRICS)
     within = " AND ".join(f"coalesce({e} <= {m}_limit, TRUE)" for m, e in rate.items())
     symbols = r"'[#*$%&|<>]'"
     return rf"""

@@ -3,10 +3,12 @@
 Every text is measured once.  For each language and source a mergeable quantile sketch
 of each metric is kept: counts in logarithmic buckets, each 2 % wide, so a quantile
 is right to 1 % of its value, any two sketches merge by adding counts, and the result
-doesn't depend on order or partitions.  A metric's threshold is its upper quartile plus
-several quartile distances: the bulk of a group sets it and none of a uniform group's
-documents lies beyond.  Groups with few rows use the sketches merged by language, then
-those merged over everything.  Documents are then joined with their group's thresholds.
+doesn't depend on order or partitions.  A metric's threshold is its median plus several
+distances of the lower quartile from it: the better half of a group sets it, so junk in
+up to half of the documents doesn't lift it.  Sketches merged by language, and over
+everything, give thresholds of these; a group's is drawn to its language's, and that to
+the one of everything, as if by ``PRIOR_ROWS`` more documents.  Documents are then joined
+with their group's thresholds.
 """
 
 from __future__ import annotations
@@ -23,17 +25,17 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 GAMMA = 1.02
-#: Distances of the quartiles from the median that a value may lie beyond the upper one.
+#: Distances of the lower quartile from the median that a value may lie above the median.
 FENCE = 6.0
 #: metric: (expression, least spread).  The least spread keeps a group without variation
 #: from rejecting every document that differs from it at all.
 METRICS = {
-    "symbol_rate": ("n_symbols / n_words", 0.05),
-    "dup_line_rate": ("n_dup_lines / n_lines", 0.1),
-    "repeat_rate": ("n_repeat_words / n_words", 0.04),
-    "word_length": ("word_chars / n_words", 1.0),
+    "symbol_rate": ("n_symbols / n_words", 0.03),
+    "dup_line_rate": ("n_dup_lines / n_lines", 0.07),
+    "repeat_rate": ("n_repeat_words / n_words", 0.03),
+    "word_length": ("word_chars / n_words", 0.2),
 }
-GROUP_MIN_ROWS = 200
+PRIOR_ROWS = 200
 #: The bucket of values up to ZERO_BELOW, under all others.
 ZERO_BELOW = 1e-6
 ZERO_BUCKET = -1_000_000
@@ -126,7 +128,7 @@ def sketch(measured: DataFrame) -> DataFrame:
     )
 
 
-def thresholds(sketches: DataFrame, min_rows: int = GROUP_MIN_ROWS) -> DataFrame:
+def thresholds(sketches: DataFrame, prior_rows: int = PRIOR_ROWS) -> DataFrame:
     """One row per lang and source: a threshold for each metric."""
     levels = {"own": ["lang", "source"], "wide": ["lang"], "all": []}
     fences = {}
@@ -137,24 +139,19 @@ def thresholds(sketches: DataFrame, min_rows: int = GROUP_MIN_ROWS) -> DataFrame
         ranked = merged.select("*", F.sum("n").over(upto).alias("upto"), F.sum("n").over(group).alias("rows"))
         quantile = lambda q: bucket_end(F.min(F.when(F.col("upto") >= q * F.col("rows"), F.col("bucket"))))  # noqa: E731, B023
         fence = lambda m: (
-            F.first(F.when(F.col("metric") == m, F.col("high") + FENCE * F.greatest(F.col("high") - F.col("mid"), F.lit(METRICS[m][1]))), True)
+            F.first(F.when(F.col("metric") == m, F.col("mid") + FENCE * F.greatest(F.col("mid") - F.col("low"), F.lit(METRICS[m][1]))), True)
         )
-        quartiles = ranked.groupBy(*keys, "metric").agg(quantile(0.5).alias("mid"), quantile(0.75).alias("high"), F.max("rows").alias("rows"))
+        quartiles = ranked.groupBy(*keys, "metric").agg(quantile(0.25).alias("low"), quantile(0.5).alias("mid"), F.max("rows").alias("rows"))
         fences[level] = quartiles.groupBy(*keys).agg(
             F.max("rows").alias(f"{level}_rows"), F.struct(*[fence(m).alias(m) for m in METRICS]).alias(level)
         )
-    named = fences["wide"].withColumnRenamed("lang", "wide_lang")
+    named = fences["wide"].withColumnRenamed("lang", "wide_lang").withColumn("all", fences["all"].select("all").scalar())
+    drawn = lambda n, own, to: (F.col(n) * own + prior_rows * to) / (F.col(n) + prior_rows)
+    limit = lambda m: drawn("own_rows", F.col("own")[m], drawn("wide_rows", F.col("wide")[m], F.col("all")[m]))
     return (
         fences["own"]
-        .join(named, F.col("lang").eqNullSafe(F.col("wide_lang")), "left")
-        .select(
-            F.col("lang").alias("t_lang"),
-            F.col("source").alias("t_source"),
-            F.when(F.col("own_rows") >= min_rows, F.col("own"))
-            .when(F.col("wide_rows") >= min_rows, F.col("wide"))
-            .otherwise(fences["all"].select("all").scalar())
-            .alias("limits"),
-        )
+        .join(named, F.col("lang").eqNullSafe(F.col("wide_lang")))
+        .select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), F.struct(*[limit(m).alias(m) for m in METRICS]).alias("limits"))
     )
 
 

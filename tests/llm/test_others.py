@@ -166,6 +166,46 @@ def test_rules_keep_clean_documents(spark):
     assert sorted(r["doc_id"] for r in quality_rules.keep_good(df).collect()) == list(range(400))
 
 
+@pytest.mark.parametrize("share", [0.05, 0.3])
+@pytest.mark.parametrize("metric", sorted(quality_rules.METRICS))
+def test_each_metric_rejects(spark, metric, share):
+    """Documents that pass the base rules and stand out by one metric go, also where they are 30 % of a group."""
+    rng = random.Random(8)
+    word = lambda k=5: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(k))
+    clean = lambda: "\n".join(" ".join(word(rng.randint(3, 7)) for _ in range(10)) for _ in range(8))
+    bad = {
+        "symbol_rate": lambda: "\n".join(" ".join(word() + "#" * (rng.random() < 0.4) for _ in range(10)) for _ in range(8)),
+        "dup_line_rate": lambda: clean() + "\n-" * 9,
+        "repeat_rate": lambda: clean() + " " + " ".join([" ".join(f"z{i} y{i} x{i}" for i in range(3))] * 2),
+        "word_length": lambda: "\n".join(" ".join(word(9) for _ in range(10)) for _ in range(8)),
+    }[metric]
+    texts = [bad() if i < share * 400 else clean() for i in range(400)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(1000 + i, clean(), "en", "t") for i in range(300)] + [(2000, bad(), "en", "small"), (2001, clean(), "en", "small")]
+    found = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    assert {i for i, r in found.items() if not r["kept"]} == {i for i in range(400) if i < share * 400} | {2000}
+
+
+def test_thresholds_are_drawn_to_the_language(spark):
+    """No jump at any number of rows, and by the formula."""
+    rng = random.Random(2)
+    rows = [("en", "big", rng.uniform(4, 6)) for _ in range(1000)] + [("en", "few", rng.uniform(7, 8)) for _ in range(20)] + [("de", "one", 5.0)]
+    df = spark.createDataFrame([(lang, s, int(x * 1000), 1000, 0, 1, 0, 0) for lang, s, x in rows], "lang string, source string, word_chars long, n_words long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long")
+    got = {(r["t_lang"], r["t_source"]): r["limits"]["word_length"] for r in quality_rules.thresholds(quality_rules.sketch(df)).collect()}
+
+    def fence(xs):
+        ends = sorted(1.02 ** np.ceil(np.log(int(x * 1000) / 1000) / np.log(1.02)) for x in xs)
+        low, mid = ends[-(-len(ends) // 4) - 1], ends[-(-len(ends) // 2) - 1]
+        return mid + 6 * max(mid - low, 0.2), len(ends)
+
+    drawn = lambda own, to: (own[1] * own[0] + 200 * to) / (own[1] + 200)
+    everything = fence([x for *_, x in rows])[0]
+    for lang, s in got:
+        wide = drawn(fence([x for a, _, x in rows if a == lang]), everything)
+        assert got[lang, s] == pytest.approx(drawn(fence([x for a, b, x in rows if (a, b) == (lang, s)]), wide), rel=1e-9)
+    assert len(got) == 3
+
+
 def test_rules_on_awkward_rows(spark):
     df = documents(spark)
     kept, judged = quality_rules.keep_good(df), quality_rules.judge(df)
