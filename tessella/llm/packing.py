@@ -137,14 +137,16 @@ def tokenize(
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (doc_id, piece, length, ...) with sequence_id and offset.
 
-    ``pieces`` is read several times, so it should be a computed table.
+    ``pieces`` is read several times, in the same partitions, so it has to be a computed
+    table.  Which of the pieces of a length goes where depends on them.
     """
     spark = pieces.sparkSession
     ship(spark)
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
     plan = spark.sparkContext.broadcast(layout(counts, capacity))
     groups = bucket_count(sum(counts.values()), GROUP_ROWS, LEAST_GROUPS)
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    # With the partition, so that repeated rows and those without an id are spread as well.
+    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", F.spark_partition_id()), F.lit(groups)))
     earlier = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     before = salted.groupBy("length", "salt").count().select("length", "salt", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
     within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
