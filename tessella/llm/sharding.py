@@ -1,7 +1,7 @@
 """Sharding by a Feistel permutation of global row numbers.
 
-Rows are numbered in an order fixed by their ids, whatever the partitions are.  A keyed
-Feistel network permutes the numbers below the next power of two; numbers that leave the
+Rows are numbered in an order fixed by their values, whatever the partitions are.  A keyed
+Feistel network permutes the numbers below the next power of four; numbers that leave the
 range walk on through the network until they are back in it.  The permuted number gives
 shard (remainder) and slot (quotient), so the shards' counts differ by one at most, and
 where any row goes, and which row is anywhere, is computed without a table.
@@ -22,7 +22,8 @@ from .common import bucket_count, col, cut, text_of
 SHARDS = 24
 KEY = 0x5EED
 ROUNDS = 6
-#: Rows in a bucket of the numbering, about, and the least number of buckets.
+#: Rows in a bucket of the numbering, about, and the least number of buckets.  So many equal
+#: rows are numbered by one task at most.
 BUCKET_ROWS = 250_000
 LEAST_BUCKETS = 256
 
@@ -85,22 +86,26 @@ class Permutation:
         return self.backward(np.asarray(slot) * shards + np.asarray(shard))
 
 
-def number_rows(rows: DataFrame, order: list[str], name: str = "row_number") -> tuple[DataFrame, int]:
+def number_rows(rows: DataFrame, name: str = "row_number") -> tuple[DataFrame, int]:
     """``rows`` with global numbers from 0, and their count.
 
-    The order is by a hash bucket of ``order[0]`` and then by ``order``: it depends on the
-    values alone.  Rows alike in all of ``order`` may swap numbers.  ``rows`` is read
-    several times, so it should be a computed table.
+    The order is by a hash bucket of the values and then by the values alone.  Equal rows
+    are counted before they are shuffled, take as many numbers in a row, and are spread
+    over tasks again.  ``rows`` is read twice, so it should be a computed table.
     """
+    columns = rows.columns
     total = rows.count()
     buckets = bucket_count(total, BUCKET_ROWS, LEAST_BUCKETS)
-    bucketed = rows.withColumn("number_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
+    distinct = cut(rows.groupBy(*columns).agg(F.count("*").alias("n")).withColumn("bucket", F.pmod(F.xxhash64(*columns), F.lit(buckets))))
     # One row a bucket: BUCKET_ROWS times fewer than rows.
-    earlier = Window.orderBy("number_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = bucketed.groupBy("number_bucket").count().select("number_bucket", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
-    within = Window.partitionBy("number_bucket").orderBy(*order)
-    numbered = bucketed.withColumn("nth", F.row_number().over(within)).join(before, "number_bucket")
-    return numbered.select(*rows.columns, (F.col("before") + F.col("nth") - 1).alias(name)), total
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = distinct.groupBy("bucket").agg(F.sum("n").alias("own")).select("bucket", F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("before"))
+    within = Window.partitionBy("bucket").orderBy(*columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = distinct.withColumn("upto", F.sum("n").over(within)).join(before, "bucket").select(*columns, "n", (F.col("before") + F.col("upto") - F.col("n")).alias("start"))
+    each = lambda df: df.select(*columns, F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias(name))
+    large = placed.filter(F.col("n") > BUCKET_ROWS).withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(BUCKET_ROWS).cast("long"))))
+    parts = large.select(*columns, F.least(F.lit(BUCKET_ROWS), F.col("n") - F.col("at")).alias("n"), (F.col("start") + F.col("at")).alias("start")).repartition("start")
+    return each(placed.filter(F.col("n") <= BUCKET_ROWS)).union(each(parts)), total
 
 
 def assign(docs: DataFrame, *, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", key: int = KEY) -> DataFrame:
@@ -114,7 +119,7 @@ def assign(docs: DataFrame, *, shards: int = SHARDS, id_col: str = "doc_id", tex
     ship(spark)
     blob = F.encode(text_of(text_col), "UTF-8")
     rows = cut(docs.select(col(id_col).alias("doc_id"), (F.octet_length(text_of(text_col)) + F.lit(8)).cast("long").alias("size"), F.crc32(blob).alias("text_crc32")))
-    numbered, total = number_rows(rows, ["doc_id", "size", "text_crc32"])
+    numbered, total = number_rows(rows)
     permutation = Permutation(total, key)
     names = [*numbered.columns, "shard", "slot"]
 

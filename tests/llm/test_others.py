@@ -23,8 +23,12 @@ def test_permutation(size):
     assert counts.max() - counts.min() <= 1
 
 
-def test_assign(spark, tmp_path):
+@pytest.mark.parametrize("bucket_rows", [3, 250_000])
+def test_assign(spark, tmp_path, monkeypatch, bucket_rows):
+    """Also where equal rows are numbered by more than one task."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket_rows)
     df = documents(spark)
+    df = df.union(df.filter("doc_id = 4 OR doc_id IS NULL").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(10)))).drop("n"))
     rows = sharding.assign(df, shards=7).collect()
     expected = sorted((str(r["doc_id"]), len((r["text"] or "").encode()) + 8, zlib.crc32((r["text"] or "").encode())) for r in df.collect())
     assert sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in rows) == expected
