@@ -394,16 +394,79 @@ def test_sparse_groups_stay_near_their_prior(spark):
     assert right > 0.97
 
 
+def bayes_by_hand(rows, labels, clip=1e-6):
+    """(id, host, path) to (evidence, host rate, path rate without the document, quality), by plain loops."""
+    import math
+
+    def features(text):
+        text = text or ""
+        words, chars, symbols, dup, repeat = measured(text)
+        lines = sum(1 for x in text.split("\n") if x.strip(" \t\n\x0b\x0c\r"))
+        n = max(words, 1)
+        values = {
+            "words": words, "symbols": symbols / n, "lines": dup / max(lines, 1), "repeats": repeat / n, "length": chars / n,
+            "capitals": sum(c.isupper() for c in text) / max(chars, 1), "marks": sum(c in "!?" for c in text) / n,
+        }
+        return {f: sum(values[f] > end for end in ends) for f, (_, ends) in quality_bayes.FEATURES.items()}
+
+    found = [(i, h, p, features(t)) for i, t, h, p in rows]
+    counts, total = {}, {0: 0, 1: 0}
+    for i, _, _, bins in found:
+        if i in labels:
+            total[labels[i]] += 1
+            for f, b in bins.items():
+                counts[f, b, labels[i]] = counts.get((f, b, labels[i]), 0) + 1
+    ratio = {}
+    for f, (_, ends) in quality_bayes.FEATURES.items():
+        share = lambda b, g: (counts.get((f, b, g), 0) + 1) / (total[g] + len(ends) + 1)  # noqa: B023, E731
+        ratio[f] = [math.log(share(b, 1) / share(b, 0)) for b in range(len(ends) + 1)]
+    prior = (total[1] + 1) / (total[0] + total[1] + 2)
+    logit = lambda p: math.log(min(max(p, clip), 1 - clip) / (1 - min(max(p, clip), 1 - clip)))
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    evidence = [0.7 * sum(ratio[f][b] for f, b in bins.items()) for *_, bins in found]
+    own = [sigmoid(logit(prior) + e) for e in evidence]
+    hosts, paths = {}, {}
+    for (_, h, p, _), x in zip(found, own, strict=True):
+        for groups, key in ((hosts, h), (paths, (h, p))):
+            n, s = groups.get(key, (0, 0.0))
+            groups[key] = n + 1, s + x
+    mean = sum(own) / len(own)
+
+    def strength(groups):
+        n = sum(g[0] for g in groups.values())
+        between = sum(c * (s / c - mean) ** 2 for c, s in groups.values()) / n - mean * (1 - mean) * len(groups) / n
+        return min(max(mean * (1 - mean) / max(between, 1e-9) - 1, 2.0), 10_000.0) if len(groups) > 1 else 10_000.0
+
+    a, b, out = strength(hosts), strength(paths), []
+    for (i, h, p, _), e, x in zip(found, evidence, own, strict=True):
+        (n, s), (m, r) = hosts[h], paths[h, p]
+        path = (r - x + b * (s - x + a * mean) / (n - 1 + a)) / (m - 1 + b)
+        out.append((i, h, p, e, (s + a * mean) / (n + a), path, sigmoid(logit(path) + e)))
+    return out
+
+
 def test_posteriors_by_hand(spark):
-    """The shrunken rates follow from the documents' own by the formulas."""
+    """Evidence, the strength of both levels, the shrunken rates and the posterior, recomputed."""
     df = documents(spark, clashing=False)
-    labels = spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(60)], "doc_id long, quality int")
-    rows = quality_bayes.classify(df, labels, F.col("source"), F.col("lang")).collect()
-    assert len(rows) == df.count()
-    hosts = {r["host"]: r["host_quality"] for r in rows}
-    assert set(hosts) == {"s1", "s2", "s3", None} and all(0 < r["path_quality"] < 1 and 0 < r["quality"] < 1 for r in rows)
-    logit = lambda p: np.log(p / (1 - p))
-    assert all(abs(logit(r["quality"]) - logit(r["path_quality"]) - r["evidence"]) < 1e-6 for r in rows)
+    known = {i: int(i % 4 > 0) for i in range(60)}
+    rows = quality_bayes.classify(df, spark.createDataFrame(list(known.items()), "doc_id long, quality int"), F.col("source"), F.col("lang")).collect()
+    expected = bayes_by_hand([(r["doc_id"], r["text"], r["source"], r["lang"]) for r in df.collect()], known)
+    key = lambda r: (str(r[0]), str(r[1]), str(r[2]), round(r[3], 6))
+    assert len(rows) == len(expected)
+    for r, e in zip(sorted((tuple(r) for r in rows), key=key), sorted(expected, key=key), strict=True):
+        assert r[:3] == e[:3] and r[3:7] == pytest.approx(e[3:7], abs=1e-9) and r[7] == (e[6] >= 0.5)
+
+
+def test_held_out_accuracy(spark):
+    """Fitted on three quarters of the labels of the test table, right on the fourth."""
+    from tessella.llm import queries
+
+    docs, labels = (queries.table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels"))
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    found = quality_bayes.classify(docs, labels.filter(~out), F.col("source"), F.col("lang"))
+    judged = found.join(labels.filter(out).select("doc_id", F.col("quality").alias("label")), "doc_id")
+    row = judged.agg(F.count("*").alias("n"), F.count_if(F.col("kept") == (F.col("label") == 1)).alias("right")).first()
+    assert row["n"] > 50 and row["right"] / row["n"] > 0.95
 
 
 def test_classifier_without_labels_or_rows(spark):
