@@ -21,18 +21,24 @@ def runs(batches: Iterator, separator: bytes, chunk: int = CHUNK) -> Iterator[tu
 
     Each chunk ends with a separator.  If a file doesn't, its last chunk has one too many.
     """
-    key, held, length, nth = None, [], 0, 0
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    key, nth = None, 0
     for batch in batches:
-        for value, *now in zip(batch.column(0), *(c.to_pylist() for c in batch.columns[1:]), strict=True):
-            if now != key or length >= chunk:
-                if held:
-                    yield (*key[:2], nth, b"".join(held), key[2])
-                nth = nth + 1 if now == key else 0
-                key, held, length = now, [], 0
-            held += (value.as_py(), separator)
-            length += len(held[-2]) + 1
-    if held:
-        yield (*key[:2], nth, b"".join(held), key[2])
+        value, file, block, size = batch.columns
+        if not len(value):
+            continue
+        splits = block.to_numpy()
+        parts = (np.cumsum(pc.binary_length(value).to_numpy(zero_copy_only=False).astype(np.int64) + 1) - 1) // chunk
+        new = pc.not_equal(file[1:], file[:-1]).to_numpy(zero_copy_only=False) | (splits[1:] != splits[:-1]) | (parts[1:] != parts[:-1])
+        starts = np.flatnonzero(np.append(True, new))
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(starts, len(value)), pa.int32()), value), separator)
+        for data, start in zip(joined, starts.tolist(), strict=True):
+            now = file[start].as_py(), int(splits[start])
+            nth, key = (nth + 1 if now == key else 0), now
+            yield (*now, nth, data.as_py() + separator, size[start].as_py())
 
 
 def lines(spark: SparkSession, path: str | list[str], separator: bytes, glob: str) -> DataFrame:
