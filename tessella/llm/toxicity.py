@@ -35,7 +35,8 @@ RANK = 8
 STEPS = 600
 BATCH = 1_024
 RATE = 0.03
-DECAY = 1e-3
+#: The pull of weights and factors towards zero, over the number of rows fitted on.
+DECAY = 2.0
 #: Share of terms left out at random in each step, so that each learns to tell alone.
 DROP = 0.25
 PREFIXES = (4, 5, 6)
@@ -110,7 +111,7 @@ def train(rows: list[tuple[list[int], int]], buckets: tuple[int, ...]) -> Model:
         return Model(-40.0 if not y.sum() else float(np.log(y.mean() / max(1 - y.mean(), 1e-6))))
     sizes = np.array([len(at) for at, _ in rows], np.int64)
     flat, starts, n = np.fromiter((p for at, _ in rows for p in at), np.int64, sizes.sum()), np.cumsum(sizes) - sizes, len(buckets)
-    rng = np.random.default_rng(0)
+    rng, decay = np.random.default_rng(0), DECAY / len(y)
     rate = np.clip(y.mean(), 1e-4, 1 - 1e-4)
     state = [np.array([np.log(rate / (1 - rate))]), np.zeros(n), rng.normal(0, 0.02, (RANK, n))]
     first, second = [np.zeros_like(p) for p in state], [np.zeros_like(p) for p in state]
@@ -127,7 +128,7 @@ def train(rows: list[tuple[list[int], int]], buckets: tuple[int, ...]) -> Model:
         off = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[pick]) / len(pick)
         slope = by_term(off[row])
         pull = np.array([by_term((off * s)[row]) for s in sums])
-        grads = [np.array([off.sum()]), slope + DECAY * w, pull - slope * v + DECAY * v]
+        grads = [np.array([off.sum()]), slope + decay * w, pull - slope * v + decay * v]
         pace = RATE * min(1.0, 2 * (1 - step / (STEPS + 1)))
         for p, g, a, b in zip(state, grads, first, second, strict=True):
             a += 0.1 * (g - a)
