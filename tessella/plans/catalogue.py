@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analytics, browsing, emitting, timelines
+from . import analytics, browsing, emitting, files, timelines
 
-PARTS = (browsing, timelines, analytics, emitting)
+PARTS = (browsing, timelines, analytics, emitting, files)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -65,8 +65,10 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    first = spark.read.text(path).limit(1).collect()
-    return first[0]["value"].split("\t") if first else []
+    """The cells of the first line of the first file by name; a scan of several takes the largest first."""
+    first = spark.read.format("binaryFile").load(path).filter("length > 0").agg(F.min("path")).first()[0]
+    lines = spark.read.text(first).limit(1).collect() if first else []
+    return lines[0]["value"].split("\t") if lines else []
 
 
 def tsv_map(spark: SparkSession, path: str, key: str, columns: Sequence[str]) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _fs(spark: SparkSession, path: str):
+def at(spark: SparkSession, path: str):
+    """The file system and the path object of a path."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
@@ -24,9 +25,9 @@ def publish(df: DataFrame, path: str, kind: str = "json", **options: str) -> Non
 
 def replace(spark: SparkSession, staged: str, path: str) -> None:
     """Rename ``staged`` to ``path``, over what is there."""
-    fs, old = _fs(spark, path)
-    _, new = _fs(spark, staged)
-    _, aside = _fs(spark, f"{path}.old-{uuid.uuid4().hex}")
+    fs, old = at(spark, path)
+    _, new = at(spark, staged)
+    _, aside = at(spark, f"{path}.old-{uuid.uuid4().hex}")
     had = fs.exists(old)
     if had and not fs.rename(old, aside):
         raise OSError(f"{path} can't be moved aside")
@@ -68,7 +69,7 @@ def uids(df: DataFrame, path: str, key: str = "utterance_id") -> None:
 def text_file(spark: SparkSession, path: str, text: str) -> None:
     """A small file, written whole and put in place by a rename."""
     staged = f"{path}.tmp-{uuid.uuid4().hex}"
-    fs, jvm_path = _fs(spark, staged)
+    fs, jvm_path = at(spark, staged)
     out = fs.create(jvm_path, True)
     try:
         out.write(bytearray(text.encode()))
@@ -99,8 +100,8 @@ def stats(spark: SparkSession, path: str, document: dict) -> None:
 
 def backup_once(spark: SparkSession, path: str, suffix: str = ".bak") -> bool:
     """Rename ``path`` to a backup unless there is one already; whether it did."""
-    fs, source = _fs(spark, path)
-    _, target = _fs(spark, path + suffix)
+    fs, source = at(spark, path)
+    _, target = at(spark, path + suffix)
     return bool(fs.exists(source) and not fs.exists(target) and fs.rename(source, target))
 
 
