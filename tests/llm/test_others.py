@@ -490,23 +490,68 @@ def vectors(n, dim, seed=4):
     return np.random.default_rng(seed).normal(size=(n, dim))
 
 
-@pytest.mark.parametrize("unit", [True, False])
-def test_recall(spark, monkeypatch, unit):
-    monkeypatch.setattr(ann, "BLOCK_ROWS", 1000)
-    x = vectors(2500, 32)
-    x = x / np.linalg.norm(x, axis=1, keepdims=True) if unit else x * np.random.default_rng(1).uniform(0.5, 2, (len(x), 1))
+def recall(spark, x, k=20, every=20):
+    """The share of true neighbours found, with all that must hold of the rows checked."""
     df = spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(x)], "vec_id long, embedding array<double>, score string")
     found = {}
-    for r in ann.search(df, 20, query=F.col("query_id") % 20 == 0).collect():
+    for r in ann.search(df, k, query=F.col("query_id") % every == 0).collect():
         found.setdefault(r["query_id"], []).append(r)
     hits = 0
     for q, rows in found.items():
         rows.sort(key=lambda r: r["rank"])
         scores = x @ x[q]
         scores[q] = -np.inf
-        hits += len(set(np.argsort(-scores)[:20]) & {r["vec_id"] for r in rows})
-        assert [r["rank"] for r in rows] == list(range(1, 21)) and all(abs(r["score"] - scores[r["vec_id"]]) < 1e-12 for r in rows)
-    assert len(found) == 125 and hits / (20 * len(found)) >= 0.9
+        hits += len(set(np.argsort(-scores)[:k]) & {r["vec_id"] for r in rows})
+        assert [r["rank"] for r in rows] == list(range(1, k + 1)) and all(abs(r["score"] - scores[r["vec_id"]]) < 1e-12 for r in rows)
+    assert len(found) == -(-len(x) // every)
+    return hits / (k * len(found))
+
+
+@pytest.mark.parametrize("block_rows", [300, 8192])
+@pytest.mark.parametrize("unit", [True, False])
+def test_recall(spark, monkeypatch, unit, block_rows):
+    monkeypatch.setattr(ann, "BLOCK_ROWS", block_rows)
+    x = vectors(2500, 32)
+    x = x / np.linalg.norm(x, axis=1, keepdims=True) if unit else x * np.random.default_rng(1).uniform(0.5, 2, (len(x), 1))
+    assert recall(spark, x) >= 0.9
+
+
+@pytest.mark.parametrize("n,most", [(2_000, 0.2), (10_000, 0.12), (40_000, 0.08)])
+def test_few_are_verified(n, most):
+    """Recall at three sizes without structure, by far fewer steps than the full product has."""
+    x = vectors(n, 64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, asked = np.arange(n), np.arange(60)
+    pick = np.random.default_rng(3).permutation(n)[:4096]
+    plan = ann.make_plan(pick, x[pick], 1.0, n, 20, 1)
+    widths = plan.half_widths(asked, x[:60])
+    q, found, _, verified = ann.search_block(ids, x, asked, x[:60], widths, plan)
+    scores = x[:60] @ x.T
+    scores[asked, asked] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    hits = sum(len(set(best[i]) & set(found[q == i].tolist())) for i in range(60))
+    assert hits / 1200 >= 0.9 and verified / (60 * n) < most
+
+
+def test_clusters_leave_ranges_out(spark, monkeypatch):
+    """Queries go only to ranges that their windows touch, and find what is there."""
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 200)
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.normal(size=(40, 24)), 100, axis=0) + 0.02 * rng.normal(size=(4000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    plan = ann.make_plan(np.arange(4000), x, float((x * x).sum(axis=1).max()), 4000, 10, 16)
+    at = plan.ranges(plan.project(x))
+    assert len(set(at.tolist())) == 16 and recall(spark, x, 10) >= 0.95
+    projected, widths = plan.project(x), plan.half_widths(np.arange(4000), x)
+    touched = sum(((plan.centres(x) + widths[:, None] >= projected[at == r].min(axis=0)) & (plan.centres(x) - widths[:, None] <= projected[at == r].max(axis=0))).sum(axis=1) >= ann.needed() for r in range(16))
+    assert touched.mean() < 6
+
+
+def test_short_queries_widen(spark, monkeypatch):
+    """Windows that are too narrow for k are widened until k are found."""
+    monkeypatch.setattr(ann, "WIDTH", 0.6)
+    monkeypatch.setattr(ann, "needed", lambda directions=128: 100)
+    recall(spark, vectors(400, 16), 20)
 
 
 def test_unusable_vectors_ties_and_few_rows(spark):
