@@ -184,12 +184,8 @@ def regions(df: DataFrame, parent: str, at: str, label: str, length: str, order:
 
 def silence_middles(speech: Column, length: Column) -> Column:
     """Middles of the silences around an array of (start, end), those over ``SILENCE_GAP``."""
-    n = F.size(speech)
-    before = F.when(n > 0, F.transform(speech, lambda x, i: F.when(i == 0, F.lit(0.0)).otherwise(F.get(speech, i - 1)["end"])))
-    inner = F.when(
-        n > 0,
-        F.filter(F.transform(speech, lambda x, i: F.when(x["start"] > F.get(before, i) + SILENCE_GAP, (F.get(before, i) + x["start"]) / 2)), lambda m: m.isNotNull()),
-    ).otherwise(F.array().cast("array<double>"))
+    before = lambda i: F.when(i == 0, F.lit(0.0)).otherwise(F.get(speech, i - 1)["end"])
+    inner = F.filter(F.transform(speech, lambda x, i: F.when(x["start"] > before(i) + SILENCE_GAP, (before(i) + x["start"]) / 2)), lambda m: m.isNotNull())
     last = F.coalesce(F.try_element_at(speech, F.lit(-1))["end"], F.lit(0.0))
     return F.when(length > last + SILENCE_GAP, F.array_append(inner, (last + length) / 2)).otherwise(inner)
 

@@ -181,14 +181,13 @@ def purity_second(windows: DataFrame, speech: DataFrame) -> DataFrame:
     """
     found = iv.regions(windows, "utterance_id", "t", "lang", "d", "t")
     lists = found.groupBy("utterance_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "lang"))).alias("r"), F.max("end").alias("d"))
-    joined = lists.join(speech, "utterance_id", "left").withColumn("mids", iv.silence_middles(F.coalesce("segments", F.array().cast("array<struct<start:double,end:double>>")), F.col("d")))
-    heard = F.size(F.coalesce("segments", F.array().cast("array<struct<start:double,end:double>>"))) > 0
-    bound = lambda x, i: F.when((i < F.size("r") - 1) & heard, iv.snap(x["end"], F.col("mids"))).otherwise(x["end"])
-    ends = F.transform("r", bound)
-    snapped = joined.withColumn("ends", ends).withColumn(
-        "language_regions",
-        F.transform("r", lambda x, i: F.struct(F.bround(F.when(i == 0, x["start"]).otherwise(F.get("ends", i - 1)), 3).alias("start"), F.bround(F.get("ends", i), 3).alias("end"), x["lang"].alias("lang"))),
-    )
+    heard = F.coalesce("segments", F.array().cast("array<struct<start:double,end:double>>"))
+    # Each array is bound once; named in a lambda only, it would be made anew for each element.
+    once = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))
+    bound = lambda m: lambda x, i: F.when((i < F.size("r") - 1) & (F.size(heard) > 0), iv.snap(x["end"], m)).otherwise(x["end"])
+    ends = once(iv.silence_middles(heard, F.col("d")), lambda m: F.transform("r", bound(m)))
+    region = lambda e: lambda x, i: F.struct(F.bround(F.when(i == 0, x["start"]).otherwise(F.get(e, i - 1)), 3).alias("start"), F.bround(F.get(e, i), 3).alias("end"), x["lang"].alias("lang"))
+    snapped = lists.join(speech, "utterance_id", "left").withColumn("language_regions", once(ends, lambda e: F.transform("r", region(e))))
     return snapped.select("utterance_id", "language_regions", foreign_regions(F.col("language_regions")).alias("f")).select("utterance_id", "language_regions", "f.*")
 
 

@@ -12,7 +12,7 @@ from ..operators import consensus as cs
 from ..operators import manifest as m
 from ..operators import scorers, validation
 from ..streaming import incremental
-from .tables import MANIFEST_SQL, manifest, table
+from .tables import MANIFEST_SQL, TIMELINE_SQL, manifest, table
 
 WITH = f"WITH {MANIFEST_SQL}"
 QUERIES, ORACLES = {}, {}
@@ -231,10 +231,15 @@ def best_worst(spark, sf):
     return validation.best_worst(table(spark, sf, "customer"), "c_acctbal", "c_custkey")
 
 
-@register("spot_check", None)
+@register(
+    "spot_check",
+    f"""{WITH}, p AS (SELECT * FROM manifest ORDER BY md5('42:' || utterance_id), utterance_id LIMIT 200)
+    SELECT 'tier1' AS sidecar, 'rms_dbfs' AS field, count(rms_dbfs) AS compared, 0 AS different FROM p
+    UNION ALL SELECT 'tier1', 'silence_ratio', count(silence_ratio), count(*) FILTER (WHERE doc_id % 2 = 0) FROM p""",
+)
 def spot_check(spark, sf):
     df = manifest(spark, sf)
-    sidecar = df.select("utterance_id", "quality_flags.rms_dbfs", (F.col("quality_flags.silence_ratio") + F.when(F.col("utterance_id") % 2 == 0, 1e-9).otherwise(0.0)).alias("silence_ratio"))
+    sidecar = df.select("utterance_id", "quality_flags.rms_dbfs", (F.col("quality_flags.silence_ratio") + F.when(F.col("utterance_id") % 2 == 0, 1e-3).otherwise(1e-9)).alias("silence_ratio"))
     return validation.spot_check(df, {"tier1": sidecar})
 
 
@@ -263,6 +268,21 @@ def normalize_hu_full(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.normalize(F.col("text")).alias("normalized"))
 
 
+PAIRS = "t AS (SELECT a.conv_id, a.turn, lower(a.text) AS a, lower(b.text) AS b, a.text AS raw FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND a.turn = b.turn - 1)"
+
+
+def distance_sql(a: str, b: str, rows: str = "t") -> str:
+    """Tables w (rows with wa, wb: lists of words) and e (w with edits and rate): each step adds a row of the table of distances."""
+    split = lambda c: f"list_filter(string_split(coalesce({c}, ''), ' '), lambda x: x <> '')"
+    return f"""w AS MATERIALIZED (SELECT *, row_number() OVER () AS id, {split(a)} AS wa, {split(b)} AS wb FROM {rows}),
+    x AS MATERIALIZED (SELECT id, unnest(wa) AS word, unnest(range(1, len(wa) + 1)) AS i FROM w), y AS MATERIALIZED (SELECT id, unnest(wb) AS word, unnest(range(1, len(wb) + 1)) AS j FROM w),
+    d AS (SELECT id, 0 AS i, unnest(range(0, len(wb) + 1)) AS j, unnest(range(0, len(wb) + 1)) AS v FROM w
+      UNION ALL SELECT id, i, j, min(best - j) OVER (PARTITION BY id ORDER BY j ROWS UNBOUNDED PRECEDING) + j
+      FROM (SELECT d.id, x.i, d.j, CASE WHEN d.j = 0 THEN x.i ELSE least(v + 1, lag(v) OVER (PARTITION BY d.id ORDER BY d.j) + CASE WHEN x.word = y.word THEN 0 ELSE 1 END) END AS best
+        FROM d JOIN x ON x.id = d.id AND x.i = d.i + 1 LEFT JOIN y ON y.id = d.id AND y.j = d.j)),
+    e AS (SELECT w.*, v AS edits, CASE WHEN len(wa) = 0 THEN CASE WHEN len(wb) = 0 THEN 0::DOUBLE ELSE 1::DOUBLE END WHEN len(wb) = 0 THEN 1::DOUBLE ELSE CAST(v AS DOUBLE) / len(wa) END AS rate FROM w JOIN d ON d.id = w.id AND i = len(wa) AND j = len(wb))"""
+
+
 def turns(spark, sf):
     """Consecutive turns of conversations as two transcriptions of one clip."""
     rows = table(spark, sf, "conversations")
@@ -270,7 +290,7 @@ def turns(spark, sf):
     return rows.select("conv_id", "turn", F.col("text").alias("a")).join(second, ["conv_id", "turn"])
 
 
-@register("word_wer", None)
+@register("word_wer", f"WITH RECURSIVE {PAIRS}, {distance_sql('a', 'b')} SELECT conv_id, turn, rate AS wer FROM e")
 def word_wer(spark, sf):
     a, b = tx.words(F.lower("a")), tx.words(F.lower("b"))
     return turns(spark, sf).select("conv_id", "turn", tx.wer(a, b).alias("wer"))
@@ -297,7 +317,12 @@ def pillars(spark, sf):
     return text("a"), text("b"), rows.select("utterance_id", F.length("a").cast("double").alias("duration_sec"))
 
 
-@register("consensus_tiers", None)
+@register(
+    "consensus_tiers",
+    f"""WITH RECURSIVE {PAIRS}, {distance_sql('a', 'b')}, c AS (SELECT *, {PRICE_TIER.format('rate')} AS tier, CAST(length(raw) AS DOUBLE) AS len FROM e)
+    SELECT conv_id || '-' || turn AS utterance_id, 'conversations' AS source, round_even(rate, 4) AS pairwise_wer, tier AS consensus_tier,
+      CASE WHEN len IS NULL THEN 'unknown' WHEN len < 5 THEN '<5s' WHEN len < 10 THEN '5-10s' WHEN len < 20 THEN '10-20s' ELSE '20-30s' END AS duration_bucket, CASE WHEN tier = 'GOLD' THEN a END AS consensus_text FROM c""",
+)
 def consensus_tiers(spark, sf):
     return cs.consensus(*pillars(spark, sf))
 
@@ -321,27 +346,96 @@ def lm_adjudicate(spark, sf):
 PCM_RATE = 160
 
 
+def decibels(e: str) -> str:
+    return f"20 * log10({e} + 1e-12::DOUBLE)"
+
+
+SQUARES = "list_reduce(list_prepend(0::DOUBLE, {0}), lambda a, y: a + y * y)"
+
+
 @register(
     "tier1_signal",
-    """WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
+    f"""WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x FROM embeddings),
     f AS (SELECT vec_id, x, list_transform(range(0, len(x) // 4), lambda i: 20 * log10(sqrt((x[4 * i + 1] * x[4 * i + 1] + x[4 * i + 2] * x[4 * i + 2] + x[4 * i + 3] * x[4 * i + 3] + x[4 * i + 4] * x[4 * i + 4]) / 4) + 1e-12::DOUBLE)) AS db FROM p)
-    SELECT vec_id, list_max(list_transform(x, lambda v: abs(v))) >= 0.9999::DOUBLE AS is_clipped, CAST(len(list_filter(db, lambda v: v < -40)) AS DOUBLE) / len(db) AS silence_ratio FROM f""",
+    SELECT vec_id, round({decibels(f"sqrt({SQUARES.format('x')} / len(x))")}, 6) AS rms_dbfs, round({decibels("list_max(list_transform(x, lambda v: abs(v)))")}, 6) AS peak_dbfs,
+      list_max(list_transform(x, lambda v: abs(v))) >= 0.9999::DOUBLE AS is_clipped, CAST(len(list_filter(db, lambda v: v < -40)) AS DOUBLE) / len(db) AS silence_ratio FROM f""",
 )
 def tier1_signal(spark, sf):
-    return table(spark, sf, "embeddings").select("vec_id", signal.tier1(F.col("embedding"), PCM_RATE).alias("t")).select("vec_id", "t.is_clipped", "t.silence_ratio")
+    """Levels rounded, as engines differ in the last digits of a logarithm."""
+    found = table(spark, sf, "embeddings").select("vec_id", signal.tier1(F.col("embedding"), PCM_RATE).alias("t"))
+    return found.select("vec_id", *[F.round(f"t.{c}", 6).alias(c) for c in ("rms_dbfs", "peak_dbfs")], "t.is_clipped", "t.silence_ratio")
+
 
+@register("segment_slice", "SELECT vec_id, len(c) AS n, c[1] AS first, c[-1] AS last FROM (SELECT vec_id, list_slice(embedding, 17, 48) AS c FROM embeddings)")
+def segment_slice(spark, sf):
+    """The samples from 0.1 to 0.3 s."""
+    part = signal.clip(F.col("embedding"), F.lit(0.1), F.lit(0.3), PCM_RATE)
+    return table(spark, sf, "embeddings").select("vec_id", part.alias("c")).select("vec_id", F.size("c").cast("long").alias("n"), F.get("c", F.lit(0)).alias("first"), F.element_at("c", -1).alias("last"))
 
-@register("edge_audit", None)
+
+@register(
+    "edge_audit",
+    f"""WITH p AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS x, list_filter(range(0, len(embedding)), lambda i: abs(embedding[i + 1]) > 0.1) AS s FROM embeddings),
+    l AS (SELECT *, len(s) = 0 AS silent, s[1] AS first, len(x) - (s[-1] + 1) AS rest, sqrt({SQUARES.format("list_slice(x, 1, 16)")} / 16) AS h, sqrt({SQUARES.format("list_slice(x, len(x) - 15, len(x))")} / 16) AS t FROM p)
+    SELECT vec_id, coalesce(first < 8, FALSE) AS boundary_cut_start, coalesce(rest < 8, FALSE) AS boundary_cut_end, CASE WHEN NOT silent THEN first < 8 AND 20 * log10(h) > -25 END AS mid_word_cut_start,
+      CASE WHEN NOT silent THEN rest < 8 AND 20 * log10(t) > -25 END AS mid_word_cut_end, CASE WHEN NOT silent THEN first * 1000.0::DOUBLE / 160 END AS first_speech_offset_ms, CASE WHEN NOT silent THEN rest * 1000.0::DOUBLE / 160 END AS last_speech_to_end_ms,
+      CASE WHEN NOT silent THEN round(20 * log10(h), 6) END AS start_100ms_rms_dbfs, CASE WHEN NOT silent THEN round(20 * log10(t), 6) END AS end_100ms_rms_dbfs, len(s) AS n_speech_segments, CASE WHEN silent THEN TRUE END AS no_speech FROM l""",
+)
 def edge_audit(spark, sf):
-    loud = F.filter(F.transform("embedding", lambda x, i: F.when(F.abs(x) > 0.1, i)), lambda i: i.isNotNull())
+    loud = F.filter(F.transform("embedding", lambda x, i: F.when(F.abs(x) > F.lit(0.1).cast("float"), i)), lambda i: i.isNotNull())
     speech = F.transform(loud, lambda i: F.struct(i.alias("start"), (i + 1).alias("end")))
-    return table(spark, sf, "embeddings").select("vec_id", signal.edges(F.col("embedding"), speech, PCM_RATE).alias("e")).select("vec_id", "e.*")
+    found = table(spark, sf, "embeddings").select("vec_id", signal.edges(F.col("embedding"), speech, PCM_RATE).alias("e")).select("vec_id", "e.*")
+    return found.withColumns({c: F.round(c, 6) for c in ("start_100ms_rms_dbfs", "end_100ms_rms_dbfs")})
+
+
+#: Samples of a part of the clips below; four of the scorers' frames, a tenth of a second.
+PART = 1600
+LOUD = "l AS (SELECT vec_id, unnest(range(0, 8)) AS g, embedding FROM embeddings), k AS (SELECT vec_id, g FROM l WHERE embedding[g + 1] > 0)"
+
 
+def clips(spark, sf):
+    """Eight parts of 25 repeats of the vector each, the ones at which it isn't positive silent: 0.8 s."""
+    part = lambda g: F.transform(F.flatten(F.array_repeat("embedding", PART // 64)), lambda x: F.when(F.get("embedding", F.lit(g)) > 0, x).otherwise(F.lit(0.0).cast("float")))
+    return table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("utterance_id"), F.concat(*map(part, range(8))).alias("pcm"))
 
-@register("scored_clips", None)
+
+@register(
+    "scored_clips",
+    f"""WITH {LOUD}, m AS (SELECT *, CASE WHEN g - lag(g) OVER (PARTITION BY vec_id ORDER BY g) <= 3 THEN 0 ELSE 1 END AS new FROM k),
+    n AS (SELECT *, sum(new) OVER (PARTITION BY vec_id ORDER BY g ROWS UNBOUNDED PRECEDING) AS seg FROM m), s AS (SELECT vec_id, seg, max(g) - min(g) + 1 AS parts FROM n GROUP BY vec_id, seg)
+    SELECT CAST(e.vec_id AS VARCHAR) AS utterance_id, round(coalesce(sum(parts), 0) * 1600.0::DOUBLE / 12800, 4) AS vad_speech_ratio, count(parts) AS vad_num_segments, round(coalesce(sum(parts), 0) * 1600.0::DOUBLE / 16000, 3) AS vad_speech_sec, NULL AS vad_error
+    FROM embeddings e LEFT JOIN s ON s.vec_id = e.vec_id GROUP BY e.vec_id""",
+)
 def scored_clips(spark, sf):
-    clips = table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("utterance_id"), F.flatten(F.array_repeat("embedding", 200)).alias("pcm"))
-    return scorers.score(clips, scorers.SCORERS["vad"])
+    return scorers.score(clips(spark, sf), scorers.SCORERS["vad"])
+
+
+@register(
+    "language_scores",
+    """WITH p AS (SELECT vec_id, list_transform(range(0, 12800), lambda i: CASE WHEN embedding[i // 1600 + 1] > 0 THEN embedding[i % 64 + 1] < 0 ELSE FALSE END) AS neg FROM embeddings),
+    r AS (SELECT vec_id, round_even(1 / (1 + exp((CAST(len(list_filter(range(1, 12800), lambda i: neg[i] <> neg[i + 1])) AS DOUBLE) / 12799 - 0.5) * 20)), 4) AS p FROM p)
+    SELECT CAST(vec_id AS VARCHAR) AS utterance_id, CASE WHEN p >= 0.5 THEN 'hu' ELSE 'xx' END AS lid_top1, round_even(greatest(p, 1 - p), 4) AS lid_top1_score, p AS lid_is_hu_prob FROM r""",
+)
+def language_scores(spark, sf):
+    return scorers.score(clips(spark, sf), scorers.SCORERS["lid"]).select("utterance_id", "lid_top1", "lid_top1_score", "lid_is_hu_prob")
+
+
+@register(
+    "level_scores",
+    f"""WITH {LOUD}, s AS (SELECT e.vec_id, round_even(CAST(360 - 4 * count(g) AS DOUBLE) / 360, 4) AS r FROM embeddings e LEFT JOIN k ON k.vec_id = e.vec_id GROUP BY e.vec_id)
+    SELECT CAST(vec_id AS VARCHAR) AS utterance_id, round_even(1 + 4 * (1 - r), 3) AS dnsmos_sig, 5.0::DOUBLE AS dnsmos_bak, round_even((1 + 4 * (1 - r) + 5) / 2, 3) AS dnsmos_ovrl FROM s""",
+)
+def level_scores(spark, sf):
+    return scorers.score(clips(spark, sf), scorers.SCORERS["dnsmos"]).select("utterance_id", "dnsmos_sig", "dnsmos_bak", "dnsmos_ovrl")
+
+
+@register("orchestrated_scores", "SELECT metric, count(*) AS n FROM embeddings, (VALUES ('tier1'), ('lid')) AS m(metric) WHERE metric <> 'lid' OR label <> 0 GROUP BY metric")
+def orchestrated_scores(spark, sf):
+    """Two metrics of four; one of them has scored the clips of a label before."""
+    done = table(spark, sf, "embeddings").filter("label = 0").select(F.col("vec_id").cast("string").alias("utterance_id"))
+    found = scorers.run_all(clips(spark, sf), {"lid": done}, only=("tier1", "lid", "vad"), skip=("vad",))
+    rows = [df.select("utterance_id", F.lit(name).alias("metric")) for name, df in found.items()]
+    return rows[0].union(rows[1]).groupBy("metric").agg(F.count("*").alias("n"))
 
 
 @register(
@@ -354,19 +448,36 @@ def windowed_counts(spark, sf):
     return counts.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
-@register("purity_regions", None)
+@register(
+    "purity_regions",
+    f"""WITH {TIMELINE_SQL}, f AS (SELECT user_id, min(s) AS f, max(e) AS l FROM timeline GROUP BY user_id),
+    w AS (SELECT user_id, CAST(s - f AS DOUBLE) AS t, label, CAST(l - f AS DOUBLE) AS d FROM timeline JOIN f USING (user_id)),
+    k AS (SELECT DISTINCT user_id, t, label, d FROM w), g AS (SELECT *, lag(label) OVER o AS pl, lag(t) OVER o AS pt FROM k WINDOW o AS (PARTITION BY user_id ORDER BY t)),
+    b AS (SELECT *, CASE WHEN pt IS NULL THEN 0::DOUBLE ELSE least((pt + 1.0::DOUBLE + t) / 2, d) END AS st FROM g WHERE pt IS NULL OR label <> pl),
+    r AS (SELECT user_id, st, lead(st) OVER o AS en, d, label, row_number() OVER o AS nth FROM b WINDOW o AS (PARTITION BY user_id ORDER BY t)),
+    m AS (SELECT user_id, t AS seg, lag(t + 1) OVER (PARTITION BY user_id ORDER BY t) AS before, row_number() OVER (PARTITION BY user_id ORDER BY t) AS i, d FROM w),
+    mids AS (SELECT user_id, i, (coalesce(before, 0) + seg) / 2 AS m FROM m WHERE seg > coalesce(before, 0) + 0.05::DOUBLE UNION ALL SELECT user_id, 1000000000, (max(seg) + 1 + max(d)) / 2 FROM m GROUP BY user_id HAVING max(d) > max(seg) + 1 + 0.05::DOUBLE),
+    n AS (SELECT r.user_id, nth, m, row_number() OVER (PARTITION BY r.user_id, nth ORDER BY abs(m - en), i) AS rn FROM r JOIN mids ON mids.user_id = r.user_id WHERE en IS NOT NULL),
+    ends AS (SELECT r.*, CASE WHEN en IS NULL THEN d WHEN m IS NOT NULL AND abs(m - en) <= 0.75::DOUBLE THEN m ELSE en END AS bound FROM r LEFT JOIN n ON n.user_id = r.user_id AND n.nth = r.nth AND rn = 1)
+    SELECT CAST(user_id AS VARCHAR) AS utterance_id, round_even(CASE WHEN nth = 1 THEN st ELSE lag(bound) OVER (PARTITION BY user_id ORDER BY nth) END, 3) AS "start", round_even(bound, 3) AS "end", label AS lang,
+      CAST(count(*) OVER (PARTITION BY user_id) AS BIGINT) AS n_foreign_regions FROM ends""",
+)
 def purity_regions(spark, sf):
+    """One label a time, as windows of a clip don't share one."""
     from .tables import timeline
 
     events = timeline(spark, sf)
     first = events.groupBy("user_id").agg(F.min("s").alias("from_"), F.max("e").alias("to_"))
     windows = events.join(first, "user_id").select(F.col("user_id").cast("string").alias("utterance_id"), (F.col("s") - F.col("from_")).cast("double").alias("t"), F.col("label").alias("lang"), (F.col("to_") - F.col("from_")).cast("double").alias("d"))
     speech = windows.groupBy("utterance_id").agg(F.array_sort(F.collect_list(F.struct(F.col("t").alias("start"), (F.col("t") + 1).alias("end")))).alias("segments"))
-    return scorers.purity_second(windows, speech)
+    found = scorers.purity_second(windows, speech)
+    return found.select("utterance_id", F.inline("language_regions"), "n_foreign_regions")
 
 
-@register("lean_rows", None)
+@register(
+    "lean_rows",
+    f"""{WITH} SELECT utterance_id, source, source_caption, 'CC0-1.0' AS license, duration_sec, rms_dbfs, too_short FROM manifest""",
+)
 def lean_rows(spark, sf):
-    return m.lean(manifest(spark, sf)).select("utterance_id", "source", "transcripts.source_caption_normalized", "source_url", "license", "duration_sec")
-
-
+    """Without the caption that is normalized anew, which has number words; ``normalize_text`` has SQL for the rest of that."""
+    return m.lean(manifest(spark, sf)).select("utterance_id", "source", "transcripts.source_caption", "license", "duration_sec", "quality_flags.rms_dbfs", "quality_flags.too_short")

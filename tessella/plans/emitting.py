@@ -9,6 +9,8 @@ from ..operators import consensus as cs
 from ..operators import intervals as iv
 from ..operators import manifest as m
 from ..operators import merging, sampling, scorers
+from ..functions import text as tx
+from .analytics import distance_sql
 from .tables import MANIFEST_SQL, TIMELINE_SQL, manifest, table, timeline
 
 QUERIES, ORACLES = {}, {}
@@ -197,14 +199,30 @@ def purity_first_pass(spark, sf):
     return found.select("utterance_id", first.alias("first_window_top1"), "n_non_hu_windows", "n_windows_scanned")
 
 
-@register("pillar_rows", None)
+NORMALIZED = (
+    "trim(regexp_replace(regexp_replace(" + "replace(" * len(tx.SYMBOLS) + "lower(text)" + "".join(f", '{s}', ' {w} ')" for s, w in tx.SYMBOLS.items()) + r", '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+)
+
+
+@register(
+    "pillar_rows",
+    f"""WITH RECURSIVE t AS (SELECT conv_id || '-' || turn AS utterance_id, role, lower(text) AS caption, {NORMALIZED} AS normalized FROM conversations), {distance_sql("caption", "normalized")}
+    SELECT utterance_id, role AS source, normalized, CASE WHEN coalesce(caption, '') <> '' THEN rate END AS ref_wer FROM e""",
+)
 def pillar_rows(spark, sf):
+    """Conversations have no numbers, so their normalization has SQL."""
     rows = table(spark, sf, "conversations")
     name = F.concat_ws("-", "conv_id", "turn")
     meta = rows.select(name.alias("file"), name.alias("utterance_id"), F.col("role").alias("source"), F.lower("text").alias("normalized_caption"))
-    return cs.pillar(rows.select(name.alias("file"), F.col("text").alias("raw")), meta).select("utterance_id", "source", "ref_wer")
+    return cs.pillar(rows.select(name.alias("file"), F.col("text").alias("raw")), meta).select("utterance_id", "source", "normalized", "ref_wer")
 
 
-@register("rows_by_locality", None)
+@register("rows_by_locality", f"WITH {MANIFEST_SQL} SELECT utterance_id, source, audio_path, TRUE AS together FROM manifest")
 def rows_by_locality(spark, sf):
-    return merging.by_locality(manifest(spark, sf).select("utterance_id", "source", "audio_path"), "source", "utterance_id")
+    """together: the row before it in its partition, if any, is of its source or the last of another."""
+    from pyspark.sql import Window
+
+    sorted_ = merging.by_locality(manifest(spark, sf).select("utterance_id", "source", "audio_path"), "source", "utterance_id")
+    at = sorted_.withColumns({"part": F.spark_partition_id(), "at": F.monotonically_increasing_id()})
+    span = F.max("at").over(Window.partitionBy("source")) - F.min("at").over(Window.partitionBy("source")) + 1
+    return at.select("utterance_id", "source", "audio_path", (span == F.count("*").over(Window.partitionBy("source"))).alias("together"))
