@@ -146,6 +146,15 @@ def distribution(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFr
     return df.groupBy(*group).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.median(value).alias("median"))
 
 
+def bucket_totals(df: DataFrame, bucket: str, source: str = "source", duration: str = "duration_sec") -> DataFrame:
+    """(bucket, source, n, hours) for each pair that occurs, and per bucket with a null source."""
+    totals = [F.count("*").alias("n"), hours(F.col(duration)).alias("hours")]
+    pairs = df.groupBy(bucket, source).agg(*totals)
+    # From the pairs, so that rows are read once; a null source has a row of its own as well.
+    whole = pairs.groupBy(bucket).agg(F.sum("n").alias("n"), F.sum("hours").alias("hours"))
+    return pairs.withColumn("of", F.lit("source")).unionByName(whole.select(bucket, F.lit(None).cast(df.schema[source].dataType).alias(source), "n", "hours", F.lit("bucket").alias("of")))
+
+
 def session_counts(segments: DataFrame, session: str = "event_id") -> DataFrame:
     """Per year, the first four characters of a session's id: sessions, segments, segments a session."""
     rows = segments.groupBy(F.substring(session, 1, 4).alias("year")).agg(F.count_distinct(session).alias("sessions"), F.count("*").alias("segments"))

@@ -148,6 +148,20 @@ def relative(path: Column, root: str) -> Column:
     return F.when(path.startswith(prefix), F.substring(path, len(prefix) + 1, 1 << 30)).otherwise(path)
 
 
+def within_root(path: Column, root: str) -> Column:
+    """A path's place below ``root`` with its dots resolved; null for a path that leaves it, or is no path.
+
+    A relative path is taken from ``root``.  Links aren't followed: that is the store's matter.
+    """
+    base = root.rstrip("/")
+    whole = F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(base + "/"), path))
+    up = lambda done, part: F.when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.array_append(done, part))
+    parts = F.filter(F.split(whole, "/"), lambda x: ~x.isin("", "."))
+    clean = F.concat(F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), up), "/"))
+    inside = (path != "") & ~F.contains(path, F.lit("\0")) & clean.startswith(base + "/")
+    return F.when(inside, F.substring(clean, len(base) + 2, 1 << 30))
+
+
 def non_empty_values(transcripts: Column, kind: T.StructType = schemas.TRANSCRIPTS) -> list[Column]:
     return [F.nullif(transcripts[f], F.lit("")) for f in kind.fieldNames()]
 

@@ -49,6 +49,23 @@ def within(rows: DataFrame, scope: DataFrame, key: str = "utterance_id") -> Data
     return rows.join(scope.select(key), key, "left_semi")
 
 
+def second_pass(manifest: DataFrame, selection: DataFrame, *carried: str, key: str = "utterance_id") -> DataFrame:
+    """Rows of a selection for another pass, with columns of the selection carried over.
+
+    A key that was selected twice goes once, with the least of its carried values; the
+    rows that come are those that the manifest still has.
+    """
+    chosen = selection.groupBy(key).agg(F.min(F.struct(*carried)).alias("c_")).select(F.col(key).alias("c_key"), *[F.col(f"c_.{c}").alias(f"c_{c}") for c in carried])
+    kept = [c for c in manifest.columns if c not in carried]
+    return manifest.join(chosen, F.col(key) == F.col("c_key")).select(*kept, *[F.col(f"c_{c}").alias(c) for c in carried])
+
+
+def without_output(work: DataFrame, listing: DataFrame, name: Column) -> DataFrame:
+    """Work whose output file, by ``name``, isn't among listed paths or is empty there."""
+    made = listing.filter("length > 0").select(F.substring_index("path", "/", -1).alias("made_")).distinct()
+    return work.join(made, name == F.col("made_"), "left_anti")
+
+
 def to_score(manifest: DataFrame, done: DataFrame, sources: Sequence[str] | None = None) -> DataFrame:
     """Rows with standalone audio, of the given sources, that aren't scored."""
     rows = manifest.filter("audio_path IS NOT NULL AND NOT endswith(audio_path, '.parquet')")

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analytics, browsing, emitting, files, timelines
+from . import analytics, browsing, emitting, files, passes, timelines
 
-PARTS = (browsing, timelines, analytics, emitting, files)
+PARTS = (browsing, timelines, analytics, emitting, files, passes)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

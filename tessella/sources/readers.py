@@ -183,26 +183,18 @@ def rows_at(wanted: DataFrame, shards: DataFrame) -> DataFrame:
 WAV_INFO = T.StructType().add("codec", "string").add("sample_rate", "long").add("channels", "long").add("duration_sec", "double")
 
 
-def probe(spark: SparkSession, path: str, glob: str = "*.wav") -> DataFrame:
-    """(path, info) of audio files from their headers; info is null where a header can't be read."""
+def probe(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(path, info) of audio files from their headers; info is null where they can't be read."""
     ship(spark)
 
     def run(batches: Iterator) -> Iterator:
-        import io
-        import wave
-
         import pyarrow as pa
 
+        from ..functions import media
+
+        kind = pa.struct([("codec", pa.string()), ("sample_rate", pa.int64()), ("channels", pa.int64()), ("duration_sec", pa.float64())])
         for batch in batches:
-            found = []
-            for content in batch.column(1):
-                try:
-                    with wave.open(io.BytesIO(content.as_py())) as w:
-                        rate, frames = w.getframerate(), w.getnframes()
-                        found.append({"codec": f"pcm_s{8 * w.getsampwidth()}le", "sample_rate": rate, "channels": w.getnchannels(), "duration_sec": frames / rate if rate else 0.0})
-                except (wave.Error, EOFError):
-                    found.append(None)
-            kind = pa.struct([("codec", pa.string()), ("sample_rate", pa.int64()), ("channels", pa.int64()), ("duration_sec", pa.float64())])
+            found = [media.probe(bytes(content.as_buffer())) for content in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["path", "info"])
 
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "content")
@@ -210,10 +202,21 @@ def probe(spark: SparkSession, path: str, glob: str = "*.wav") -> DataFrame:
 
 
 def audio(rows: DataFrame, content: str = "content", rate: int = 16_000) -> DataFrame:
-    """``rows`` with pcm (mono floats at ``rate``) in place of WAV bytes; null where they can't be decoded."""
-    from ..functions.signal import decode_wav
+    """``rows`` with pcm (mono floats at ``rate``) in place of encoded bytes; null where they can't be decoded.
+
+    Codecs other than WAV are decoded by what ``functions.media.DECODERS`` has in the worker.
+    """
+    from ..functions import media
+
+    ship(rows.sparkSession)
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def run(column):
+        import pandas as pd
+
+        return pd.Series([None if x is None else media.decode(bytes(x), rate) for x in column])
 
-    return rows.withColumn("pcm", decode_wav(rate)(F.col(content))).drop(content)
+    return rows.withColumn("pcm", run(F.col(content))).drop(content)
 
 
 #: Preference of file types, the highest first.

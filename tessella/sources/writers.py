@@ -126,3 +126,33 @@ def wav_clips(df: DataFrame, path: str, rate: int = 16_000) -> DataFrame:
     clips = df.select("utterance_id", name.alias("name"), encode_wav(rate)(F.col("pcm")).alias("bytes"))
     clips.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def stage(df: DataFrame, folder: str, audio: str = "audio_path", reference: str = "text", key: str = "utterance_id") -> int:
+    """A local folder of links to a set's audio, and ground_truth.jsonl with the reference texts; returns their number.
+
+    For a tool that wants a plain folder, on one machine: rows come one after the other.
+    Links are named by key and suffix; a row without audio, or whose link would clash, is
+    an error, and the folder appears only when all is there.
+    """
+    import os
+    import re
+    import shutil
+
+    staged, n = f"{folder.rstrip('/')}.tmp-{uuid.uuid4().hex}", 0
+    os.makedirs(staged)
+    try:
+        with open(f"{staged}/ground_truth.jsonl", "w", encoding="utf-8") as out:
+            for r in df.select(F.col(key).cast("string").alias("k"), F.col(audio).alias("a"), F.col(reference).alias("t")).orderBy("k").toLocalIterator():
+                if not r["k"] or not r["a"]:
+                    raise ValueError(f"{r['k']!r} has no audio or no name")
+                name = re.sub(r"[^A-Za-z0-9._-]+", "_", r["k"]) + os.path.splitext(r["a"])[1]
+                os.symlink(r["a"], f"{staged}/{name}")
+                out.write(json.dumps({"utterance_id": r["k"], "file": name, "text": r["t"] or ""}, ensure_ascii=False) + "\n")
+                n += 1
+        if os.path.isdir(folder):
+            shutil.rmtree(folder)
+        os.rename(staged, folder)
+    finally:
+        shutil.rmtree(staged, ignore_errors=True)
+    return n
