@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..runtime import cut
 from ..schemas import SIDECARS
 from .manifest import has_text, has_transcript_entry
 
@@ -73,8 +74,6 @@ def coverage(attached: DataFrame, names: Sequence[str] = tuple(SIDECARS)) -> Dat
     return attached.groupBy("source").agg(F.count("*").alias("total"), *[when_true(F.col(f"with_{n}")).alias(n) for n in names if f"with_{n}" in attached.columns])
 
 
-#: Cells that a group's range of values is cut into.
-RANK_CELLS = 4096
 EDGES = (3, 5, 10, 15, 20, 30)
 
 
@@ -96,25 +95,20 @@ def at_rank(df: DataFrame, value: str, ranks: dict[str, Column], group: Sequence
     """Values at ranks from 0, given as expressions of ``n``, the count of values not null.
 
     Exact, from counts per distinct value: a group's rows are combined before they are
-    shuffled, and running sums go over cells of its range of values first and within a
-    cell then, so neither a group nor the whole is one task's work.
+    shuffled, and running sums go over ranges of values first, which are cut where a sample
+    of the values says, and within a range then, so neither a group nor the whole is one
+    task's work, however its values are spread.
     """
     # Without groups all rows have the key 0, in a form that isn't folded into a cross join.
     keys = list(group) or ["one_"]
     rows = df.filter(F.col(value).isNotNull()).withColumn("v_", F.col(value))
     rows = rows if group else rows.withColumn("one_", F.pmod(F.hash("v_"), F.lit(1)))
     counts = rows.groupBy(*keys, "v_").agg(F.count("*").alias("c_"))
-    ends = counts.groupBy(*[F.col(k).alias(f"e_{k}") for k in keys]).agg(F.min("v_").cast("double").alias("low_"), F.max("v_").cast("double").alias("high_"), F.sum("c_").alias("n"))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"e_{k}"))
-    width = F.when(F.col("high_") > F.col("low_"), F.col("high_") - F.col("low_")).otherwise(1.0)
-    cell = F.least(F.floor((F.col("v_").cast("double") - F.col("low_")) / width * RANK_CELLS), F.lit(RANK_CELLS - 1))
-    placed = counts.join(ends, same).select(*keys, "v_", "c_", "n", cell.alias("cell_"))
-    # Counts before each cell of values, then before each value within its cell.
+    # Computed once: another sample would cut elsewhere.
+    placed = cut(counts.repartitionByRange(*keys, "v_").withColumn("cell_", F.spark_partition_id()))
     earlier = Window.partitionBy(*keys).orderBy("cell_").rowsBetween(Window.unboundedPreceding, -1)
     cells = placed.groupBy(*keys, "cell_").agg(F.sum("c_").alias("sum_")).select(
-        *[F.col(k).alias(f"f_{k}") for k in keys], F.col("cell_").alias("f_cell"), F.coalesce(F.sum("sum_").over(earlier), F.lit(0)).alias("before_")
+        *[F.col(k).alias(f"f_{k}") for k in keys], F.col("cell_").alias("f_cell"), F.coalesce(F.sum("sum_").over(earlier), F.lit(0)).alias("before_"), F.sum("sum_").over(Window.partitionBy(*keys)).alias("n")
     )
     match = F.col("cell_") == F.col("f_cell")
     for k in keys:

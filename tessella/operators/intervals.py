@@ -1,8 +1,8 @@
 """Interval algebra on parent timelines.
 
-Folds whose next step depends on the group so far (a gap and a span limit) run once per
-parent over its sorted intervals; everything else is window functions.  A parent's
-intervals are one recording's, so a group is bounded by a recording, not by the corpus.
+Folds whose next step depends on the group so far (a gap and a span limit) stream over a
+parent's sorted intervals and hold the open group only; everything else is window
+functions.
 """
 
 from __future__ import annotations
@@ -30,50 +30,43 @@ def greedy_groups(df: DataFrame, parent: str | Sequence[str], start: str, end: s
     its last interval's end is at most ``gap`` and they end within ``span`` of its start.
 
     A group ends where its last interval does, also if an earlier one ends later.  ``order``
-    breaks ties of ``start``.
+    breaks ties of ``start``.  An interval without a bound is a group of its own.
+
+    A parent's rows come to one task in order, as each step depends on the one before; the
+    fold holds the open group only, and rows pass through it as they are.
     """
     keys = [parent] if isinstance(parent, str) else list(parent)
-    fold = F.array_sort(F.collect_list(F.struct(F.col(start).alias("s"), F.col(order).alias("o"), F.col(end).alias("e"), F.struct(*[c for c in df.columns if c not in keys]).alias("row"))))
     number = T.StructType([*df.schema.fields, T.StructField("group_no", T.LongType())])
     ship(df.sparkSession)
-    columns = df.columns
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        owner, at, opened, ended = None, -1, None, None
         for batch in batches:
-            out = {c: [] for c in [*columns, "group_no"]}
-            for group in batch.to_pylist():
-                at, opened, ended = -1, None, None
-                for x in group["sorted"]:
-                    if opened is None or x["s"] - ended > gap or x["e"] - opened > span:
-                        at, opened = at + 1, x["s"]
-                    ended = x["e"]
-                    for c in columns:
-                        out[c].append(group[c] if c in keys else x["row"][c])
-                    out["group_no"].append(at)
-            yield pa.RecordBatch.from_pydict(out, schema=pa.schema([(f.name, arrow_types[f.name]) for f in number.fields]))
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    arrow_types = {f.name: to_arrow_type(f.dataType) for f in number.fields}
-    return df.groupBy(*keys).agg(fold.alias("sorted")).mapInArrow(run, number)
-
-
-def greedy_fold(df: DataFrame, parent: str, start: str, end: str, gap: float, span: float, order: str) -> DataFrame:
-    """(parent, gs, ge, n, first_id, last_id) of the same groups, without Python; for short parents."""
-    kind = df.select(F.struct(F.col(start).alias("gs"), F.col(end).alias("ge"), F.lit(1).alias("n"), F.col(order).alias("first_id"), F.col(order).alias("last_id"))).schema[0].dataType
-    none = F.array().cast(T.ArrayType(kind))
-    fresh = lambda x: F.struct(x["s"].alias("gs"), x["e"].alias("ge"), F.lit(1).alias("n"), x["o"].alias("first_id"), x["o"].alias("last_id"))
-
-    def step(groups: Column, x: Column) -> Column:
-        last = F.element_at(groups, -1)
-        joined = F.struct(last["gs"].alias("gs"), x["e"].alias("ge"), (last["n"] + 1).alias("n"), last["first_id"].alias("first_id"), x["o"].alias("last_id"))
-        fits = (F.size(groups) > 0) & (x["s"] - F.try_element_at(groups, F.lit(-1))["ge"] <= gap) & (x["e"] - F.try_element_at(groups, F.lit(-1))["gs"] <= span)
-        return F.when(fits, F.array_append(F.slice(groups, F.lit(1), F.size(groups) - 1), joined)).otherwise(F.array_append(groups, fresh(x)))
-
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(start).alias("s"), F.col(order).alias("o"), F.col(end).alias("e"))))
-    return df.groupBy(parent).agg(F.aggregate(ordered, none, step).alias("groups")).select(parent, F.inline("groups"))
+            columns = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (*keys, start, end)]
+            numbers = []
+            for *own, s, e in zip(*columns, strict=True):
+                if own != owner:
+                    owner, at, opened = own, -1, None
+                if s is None or e is None:
+                    at, opened = at + 1, None
+                else:
+                    if opened is None or s - ended > gap or e - opened > span:
+                        at, opened = at + 1, s
+                    ended = e
+                numbers.append(at)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers, pa.int64())], number.fieldNames())
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, start, order, end).mapInArrow(run, number)
+
+
+def merged_groups(df: DataFrame, parent: str, start: str, end: str, gap: float, span: float, order: str) -> DataFrame:
+    """(parent, gs, ge, n, first_id, last_id) of the same groups."""
+    slim = df.select(parent, F.col(start).alias("s_"), F.col(end).alias("e_"), F.col(order).alias("o_"))
+    place = F.struct("s_", "o_", "e_")
+    groups = greedy_groups(slim, parent, "s_", "e_", gap, span, "o_").groupBy(parent, "group_no")
+    return groups.agg(F.min("s_").alias("gs"), F.max(place)["e_"].alias("ge"), F.count("*").cast("int").alias("n"), F.min(place)["o_"].alias("first_id"), F.max(place)["o_"].alias("last_id")).drop("group_no")
 
 
 def merge_captions(captions: DataFrame, gap: int = CAPTION_GAP, span: int = CAPTION_SPAN) -> DataFrame:
@@ -120,7 +113,7 @@ def chunk(segments: DataFrame, parent: str, start: str = "s", end: str = "e", or
     """(parent, chunk_index, start, end): split, then merge while gap and span allow, from ``shortest`` on."""
     split = hard_split(segments, start, end, longest)
     ordered = split.withColumn("piece", F.struct(order, "part"))
-    groups = greedy_fold(ordered, parent, start, end, gap, longest, "piece").filter(F.col("ge") - F.col("gs") >= shortest)
+    groups = merged_groups(ordered, parent, start, end, gap, longest, "piece").filter(F.col("ge") - F.col("gs") >= shortest)
     nth = F.row_number().over(Window.partitionBy(parent).orderBy("gs", "first_id")) - 1
     return groups.select(parent, nth.alias("chunk_index"), F.col("gs").alias(start), F.col("ge").alias(end), "n")
 

@@ -45,7 +45,7 @@ GREEDY = f"WITH RECURSIVE {TIMELINE_SQL},{greedy_sql('timeline', 'user_id', GAP,
     f"{GREEDY} SELECT user_id, min(gs) AS gs, arg_max(e, rn) AS ge, CAST(count(*) AS INTEGER) AS n, arg_min(event_id, rn) AS first_id, arg_max(event_id, rn) AS last_id FROM grouped GROUP BY user_id, g",
 )
 def greedy_merge(spark, sf):
-    return iv.greedy_fold(timeline(spark, sf), "user_id", "s", "e", GAP, SPAN, "event_id")
+    return iv.merged_groups(timeline(spark, sf), "user_id", "s", "e", GAP, SPAN, "event_id")
 
 
 @register("greedy_members", f"{GREEDY} SELECT user_id, event_id, CAST(g - 1 AS BIGINT) AS group_no FROM grouped")

@@ -97,7 +97,7 @@ def test_silence_middles(spark):
 def test_fold_and_grouping_agree(spark):
     rng = random.Random(2)
     df = frame(spark, [(p, float(s := rng.randint(0, 500)), float(s + rng.randint(1, 50)), i) for p in range(5) for i in range(60)])
-    a = iv.greedy_fold(df, "p", "s", "e", 10, 100, "o").groupBy("p").agg(F.count("*").alias("n")).orderBy("p").collect()
+    a = iv.merged_groups(df, "p", "s", "e", 10, 100, "o").groupBy("p").agg(F.count("*").alias("n")).orderBy("p").collect()
     b = iv.greedy_groups(df, "p", "s", "e", 10, 100, "o").groupBy("p").agg((F.max("group_no") + 1).alias("n")).orderBy("p").collect()
     assert a == b
 
