@@ -44,7 +44,7 @@ WIDEN, ROUNDS = 2.0, 3
 MOST_RANGES = 64
 #: Rows of a block of vectors and of a group of queries.  Both grow with the table up to a task's
 #: memory, as every block is sent once for each group; what is found doesn't depend on them.
-BLOCK_ROWS, MOST_BLOCK_ROWS = 8_192, 65_536
+BLOCK_ROWS, MOST_BLOCK_ROWS = 32_768, 65_536
 QUERY_ROWS, MOST_QUERY_ROWS = 1_024, 16_384
 BLOCKS, QUERY_BLOCKS = 256, 64
 SEED = 20
@@ -144,7 +144,7 @@ def search_block(ids, vectors, query_ids, queries, widths, plan: Plan):
 
     n, enough, k = len(vectors), needed(), plan.k
     projected = plan.project(vectors)
-    order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32)
+    order = np.argsort(projected, axis=0, kind="stable").T.copy()
     arrays = np.take_along_axis(projected.T, order, 1)
     del projected
     centres, widths = plan.centres(queries).T, widths.astype(np.float32)
@@ -203,7 +203,7 @@ def search(
     if dim is None:
         top = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
         dim = top[0]["dim"] if top else 0
-    rows = rows.filter(F.size("vector") == dim)
+    rows = cut(rows.filter(F.size("vector") == dim))
     squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     told = rows.select(F.col("vec_id").alias("query_id"), squares.alias("squares")).agg(F.count("*").alias("n"), F.count_if(asked).alias("asked"), F.max("squares").alias("reach")).first()
     if not told["n"]:
