@@ -93,21 +93,38 @@ def _spell(column):
 
 def plain_words(text: Column) -> Column:
     """Symbols in words, everything but letters, digits and underscores as single spaces."""
+    # The text is bound once; each mention of an expression would be evaluated anew.
+    return F.get(F.transform(F.array(text), _plain_words), F.lit(0))
+
+
+def _plain_words(text: Column) -> Column:
+    any_symbol, suffixed = F.lit(False), text
+    for symbol in SYMBOLS:
+        any_symbol = any_symbol | F.contains(text, F.lit(symbol))
     for symbol, word in SYMBOLS.items():
-        text = F.regexp_replace(text, f"\\Q{symbol}\\E-([{LETTERS}]+)(?U)\\b", f" {word}$1 ")
+        suffixed = F.regexp_replace(suffixed, f"\\Q{symbol}\\E-([{LETTERS}]+)(?U)\\b", f" {word}$1 ")
+    spelled = F.when(text.rlike(f"[{''.join(SYMBOLS)}]-[{LETTERS}]"), suffixed).otherwise(text)
     for symbol, word in SYMBOLS.items():
-        text = F.replace(text, F.lit(symbol), F.lit(f" {word} "))
-    text = F.regexp_replace(text, r"(?U)[^\p{L}\p{N}_\s]", " ")
-    return F.btrim(F.regexp_replace(text, r"(?U)\s+", " "))
+        spelled = F.replace(spelled, F.lit(symbol), F.lit(f" {word} "))
+    text = F.when(any_symbol, spelled).otherwise(text)
+    return F.btrim(F.regexp_replace(text, r"[^\p{L}\p{N}_]+", " "))
+
+
+#: What Python has to see: decimal digits, and characters that may compose with others or aren't composed.
+_INVOLVED = r"[\p{Nd}\x{300}-\x{10FFFF}]"
 
 
 def normalize(text: Column) -> Column:
-    """Normalized text; null and empty texts stay as they are."""
+    """Normalized text; null and empty texts stay as they are.
+
+    Only texts with numbers, or with characters beyond the composed Latin ones, go through Python.
+    """
     from ..runtime import ship
     from pyspark.sql import SparkSession
 
     ship(SparkSession.active())
-    return F.when(text == "", text).otherwise(plain_words(_spell(text)))
+    involved = text.rlike(_INVOLVED)
+    return F.when(text == "", text).otherwise(plain_words(F.when(involved, _spell(F.when(involved, text))).otherwise(F.lower(text))))
 
 
 def words(text: Column) -> Column:
