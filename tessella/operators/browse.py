@@ -151,6 +151,7 @@ def row(df: DataFrame, value: object, key: str = KEY) -> DataFrame:
 
 # The flat table's fixed filters
 
+# The columns that it has, lists, sorts and searches by, and its ranges.
 RANGES = {
     "duration": "duration_sec", "dnsmos": "qf_dnsmos_ovrl", "vad": "qf_vad_speech_ratio", "lid_hu": "qf_lid_is_hu_prob", "qc_wer": "qc_pairwise_wer",
 }

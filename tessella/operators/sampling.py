@@ -73,8 +73,6 @@ def is_outlier(flags: Column) -> Column:
     return F.coalesce(flags["is_clipped"], F.lit(False)) | F.coalesce(flags["rms_dbfs"] < -45, F.lit(False)) | F.coalesce(flags["silence_ratio"] > 0.6, F.lit(False))
 
 
-
-
 def test_criterion(source: Column, split: Column, extra: Sequence[tuple[str, Column]] = ()) -> Column:
     """Why a row is held out for testing; null if it isn't."""
     found = F.when((source == "voxpopuli_hu_labeled") & (split == "test"), "vp_labeled_hf_test")

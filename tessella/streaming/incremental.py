@@ -60,35 +60,3 @@ def unit_done(spark: SparkSession, units: DataFrame, done_path: str, key: str) -
     if not exists(spark, done_path):
         return units
     return pending(units, spark.read.parquet(done_path).select(key).distinct(), key)
-
-
-def merge_stream(key: str, start: str, end: str, gap: float, span: float):
-    """A state function that merges sorted intervals of a key as they come, for applyInPandasWithState.
-
-    The open group is the state; a group is emitted when an interval doesn't fit it or when
-    the key times out.  Intervals of a key have to come in order.
-    """
-
-    def run(keys, frames, state):
-        import pandas as pd
-
-        opened = list(state.get) if state.exists else None
-        out = []
-        if state.hasTimedOut:
-            out, opened = [opened], None
-            state.remove()
-        else:
-            for frame in frames:
-                for s, e in zip(frame[start], frame[end], strict=True):
-                    if opened and s - opened[1] <= gap and e - opened[0] <= span:
-                        opened = [opened[0], e, opened[2] + 1]
-                    else:
-                        if opened:
-                            out.append(opened)
-                        opened = [s, e, 1]
-            if opened:
-                state.update(tuple(opened))
-                state.setTimeoutDuration(60_000)
-        yield pd.DataFrame([(*keys, *g) for g in out if g], columns=[key, "gs", "ge", "n"])
-
-    return run
