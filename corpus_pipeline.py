@@ -2,6 +2,12 @@
 
 Each stage reads what its predecessor wrote, as Parquet in the shared folder.  All but the
 last return the columns of ``documents``; the last returns one row per packed piece.
+
+Every stage takes what its operator takes: null texts count as empty and go by the quality
+rules, null languages and sources are groups of their own, rows without an id are never
+dropped as near-duplicates, repeated rows are judged each and one of them stays.  Columns
+beyond those of ``documents``, whatever their names, are carried along.  Without labels no
+document counts as toxic; empty tables pass through all stages as empty tables.
 """
 
 from __future__ import annotations
