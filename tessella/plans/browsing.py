@@ -259,15 +259,14 @@ def keep_sources(spark, sf):
     return m.keep_sources(manifest(spark, sf), ("src0", "src1")).select("utterance_id", "source")
 
 
-@register(
-    "described_schema",
-    """SELECT table_name AS tab, column_name AS name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type, 0 AS subfields
-    FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')""",
-)
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TYPES = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END"
+
+
+@register("described_schema", " UNION ALL ".join(f"SELECT '{t}' AS tab, column_name AS name, {TYPES} AS type, 0 AS subfields FROM (DESCRIBE {t})" for t in TABLES))
 def described_schema(spark, sf):
     """All tables; structs are in the tests."""
-    names = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-    found = [{"tab": n, **c} for n in names for c in browse.describe(table(spark, sf, n))]
+    found = [{"tab": n, **c} for n in TABLES for c in browse.describe(table(spark, sf, n))]
     return spark.createDataFrame([(c["tab"], c["name"], c["type"], len(c["subfields"])) for c in found], "tab string, name string, type string, subfields int")
 
 
