@@ -41,9 +41,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-#: Rows of a table that is sent whole to every task, at most; some of the rows here have a
-#: few numbers and short names, so this is a few megabytes.
-BROADCAST_ROWS = 20_000
+#: Rows of a table that is sent whole to every task, at most, and their bytes as text.
+BROADCAST_ROWS, BROADCAST_BYTES = 20_000, 8 << 20
+
+
+def is_small(table: DataFrame) -> bool:
+    """Whether a computed table may be broadcast: by its rows, and then by what they hold."""
+    if table.count() > BROADCAST_ROWS:
+        return False
+    held = table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0]
+    return (held or 0) <= BROADCAST_BYTES
 
 
 def join_small(rows: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
@@ -51,7 +58,7 @@ def join_small(rows: DataFrame, small: DataFrame, on: Column, how: str = "inner"
 
     Without the hint both sides would be shuffled before the small one's size is known.
     """
-    return rows.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+    return rows.join(F.broadcast(small) if is_small(small) else small, on, how)
 
 
 def new_path(spark: SparkSession, kind: str) -> str:
