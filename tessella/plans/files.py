@@ -139,8 +139,7 @@ def tsv_millis(spark, sf):
 def tsv_quoted(spark, sf):
     """Texts with line breaks, tabs and quotes, of any length."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang")
-    write = lambda p: docs.write.options(sep="\t", header=True, quote='"', escape='"', quoteAll=True).csv(p)
-    return through(spark, "tsv", write, lambda p: r.tsv_quoted(spark, p, docs.schema))
+    return through(spark, "tsv", lambda p: w.quoted(docs, p), lambda p: r.tsv_quoted(spark, p, docs.schema))
 
 
 @register(
@@ -165,7 +164,7 @@ def transcriptions(spark, sf):
         F.concat(F.concat_ws("-", "conv_id", "turn"), F.lit(".wav")).alias("file"), F.lit("other").alias("duration"), F.concat(F.lit("greedy "), "text").alias("transcription_greedy"),
         F.when(F.col("role") == "user", F.col("text")).otherwise("").alias("transcription_beam"),
     )
-    return through(spark, "csv", lambda p: rows.write.options(header=True, quote='"', escape='"', quoteAll=True).csv(p), lambda p: r.transcriptions(spark, p))
+    return through(spark, "csv", lambda p: w.quoted(rows, p, ","), lambda p: r.transcriptions(spark, p))
 
 
 @register("key_values", "SELECT 'o' || o_orderkey AS uid, o_orderpriority AS value FROM orders")

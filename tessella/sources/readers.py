@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..runtime import ship
+from .writers import QUOTED
 
 CORRUPT = "_corrupt_record"
 #: A line's place among all lines of its input, whatever tasks read it.
@@ -103,8 +105,9 @@ def tsv_millis(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tsv_quoted(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A quoted TSV with a header and cells of any length."""
-    reader = spark.read.option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("maxCharsPerColumn", -1)
+    """A quoted TSV with a header and cells of any length; a cell without anything is null, one of two quotes an empty text."""
+    # Nulls are told apart from empty texts by a value that no cell has.
+    reader = spark.read.options(sep="\t", multiLine=True, maxCharsPerColumn=-1, nullValue=uuid.uuid4().hex, **QUOTED)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
@@ -122,7 +125,7 @@ TRANSCRIPTION_COLUMNS = ("transcription_kenlm", "transcription_beam", "transcrip
 
 def transcriptions(spark: SparkSession, path: str) -> DataFrame:
     """(file, raw): the first transcription column of a CSV that isn't empty."""
-    rows = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
+    rows = spark.read.options(multiLine=True, **QUOTED).csv(path)
     found = [F.nullif(F.col(c), F.lit("")) for c in TRANSCRIPTION_COLUMNS if c in rows.columns]
     return rows.select("file", F.coalesce(*found, F.lit("")).alias("raw"))
 

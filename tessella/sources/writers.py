@@ -66,6 +66,15 @@ def uids(df: DataFrame, path: str, key: str = "utterance_id") -> None:
     publish(df.select(F.col(key).cast("string").alias("value")), path, "text")
 
 
+#: Quotes doubled; a NUL before a quote is a character like any other.
+QUOTED = {"header": True, "quote": '"', "escape": '"', "charToEscapeQuoteEscaping": '"'}
+
+
+def quoted(df: DataFrame, path: str, sep: str = "\t") -> None:
+    """A quoted TSV or CSV of two columns or more: a null is nothing, an empty text two quotes, and spaces around a text are kept."""
+    df.write.options(sep=sep, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **QUOTED).csv(path)
+
+
 def text_file(spark: SparkSession, path: str, text: str) -> None:
     """A small file, written whole and put in place by a rename."""
     staged = f"{path}.tmp-{uuid.uuid4().hex}"

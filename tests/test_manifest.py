@@ -259,3 +259,17 @@ def test_sets(spark, small):
     checked = readers.jsonl_checked
     assert checked is not None and validation.verdict(lean, spark.createDataFrame([(None,)], f"{readers.CORRUPT} string"), {}, 3, 0.0) == {"A": True, "B": True, "D": True, "F": True}
     assert merging.merge_passes(spark.createDataFrame([("a", "hu", None), ("a", None, 2)], "utterance_id string, x string, y int")).first().asDict() == {"utterance_id": "a", "x": "hu", "y": 2}
+
+
+def test_quoted_files_keep_texts_as_they_are(spark, tmp_path):
+    """Spaces and line breaks around a text, NULs beside quotes, empty texts and nulls come back from quoted files."""
+    from tessella.plans import files
+    from tests.oracle import check
+
+    texts = ["", None, " a ", "a\n", "\ta", "\r", "a\r\nb\r", "\x00", '\x00"', '"', '""', '"\n"', 'a"\tb', "\\", '\\"', " ", "NULL", "\x1f", "x" * 200_000]
+    rows = [(i, text, other) for i, text in enumerate(texts) for other in ("en", text)]
+    spark.createDataFrame([(n, *r[1:]) for n, r in enumerate(rows)], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    check(spark, files.QUERIES["tsv_quoted"], files.ORACLES["tsv_quoted"], str(tmp_path))
+    turns = [(1, n, role, t) for n, (role, t) in enumerate((role, t) for role in ("user", "other") for t in texts if t)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    check(spark, files.QUERIES["transcriptions"], files.ORACLES["transcriptions"], str(tmp_path))
