@@ -162,17 +162,18 @@ def neighbour_bounds(df: DataFrame, parent: str, start: str, end: str, order: st
     return df.select("*", room(left).alias("max_left"), room(right).alias("max_right"))
 
 
-def regions(df: DataFrame, parent: str, at: str, label: str, length: str, order: str, width: float = WINDOW_SEC) -> DataFrame:
+def regions(df: DataFrame, parent: str, at: str, label: str, length: str, order: str, width: float = WINDOW_SEC, keep: Sequence[str] = ()) -> DataFrame:
     """(parent, start, end, label): runs of equal labels of windows at ``at``, over the whole length.
 
     Two runs meet in the middle between the end of the one window and the start of the next.
+    ``keep`` names columns of a run's first window that follow.
     """
     w = Window.partitionBy(parent).orderBy(at, order)
-    marked = df.select(parent, at, label, length, order, F.lag(label).over(w).alias("before_"), F.lag(at).over(w).alias("at_before_"), F.lag(F.lit(1)).over(w).isNull().alias("first_"))
+    marked = df.select(*dict.fromkeys((parent, at, label, length, order, *keep)), F.lag(label).over(w).alias("before_"), F.lag(at).over(w).alias("at_before_"), F.lag(F.lit(1)).over(w).isNull().alias("first_"))
     turn = marked.filter(F.col("first_") | ~F.col(label).eqNullSafe(F.col("before_")))
     begin = F.when(F.col("first_"), F.lit(0.0)).otherwise(F.least((F.col("at_before_") + width + F.col(at)) / 2, F.col(length)))
     turn = turn.withColumn("start", begin)
-    return turn.select(parent, "start", F.coalesce(F.lead("start").over(w), F.col(length)).alias("end"), label)
+    return turn.select(parent, "start", F.coalesce(F.lead("start").over(w), F.col(length)).alias("end"), label, *keep)
 
 
 def silence_middles(speech: Column, length: Column) -> Column:

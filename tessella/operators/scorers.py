@@ -173,14 +173,16 @@ def needs_second(top1, probability):
     return (top1 != "hu") | (probability < NEEDS_SECOND)
 
 
-def purity_second(windows: DataFrame, speech: DataFrame) -> DataFrame:
+def purity_second(windows: DataFrame, speech: DataFrame, order: str = "lang") -> DataFrame:
     """Language regions of flagged clips, snapped to silences.
 
     ``windows`` (utterance_id, t, lang, d) are labelled windows of a clip of ``d`` seconds,
-    ``speech`` (utterance_id, segments) its speech in seconds.
+    ``speech`` (utterance_id, segments) its speech in seconds.  Labels of one time count once
+    each, by the smallest ``order`` of their windows, then by name.
     """
-    found = iv.regions(windows, "utterance_id", "t", "lang", "d", "t")
-    lists = found.groupBy("utterance_id").agg(F.array_sort(F.collect_list(F.struct("start", "end", "lang"))).alias("r"), F.max("end").alias("d"))
+    labels = windows.repartition("utterance_id").groupBy("utterance_id", "t", "lang", "d").agg(F.struct(F.min(order), F.col("lang")).alias("nth"))
+    found = iv.regions(labels, "utterance_id", "t", "lang", "d", "nth", keep=("t", "nth"))
+    lists = found.groupBy("utterance_id").agg(F.array_sort(F.collect_list(F.struct("t", "nth", "start", "end", "lang"))).alias("r"), F.max("end").alias("d"))
     heard = F.coalesce("segments", F.array().cast("array<struct<start:double,end:double>>"))
     # Each array is bound once; named in a lambda only, it would be made anew for each element.
     once = lambda value, body: F.get(F.transform(F.array(value), body), F.lit(0))

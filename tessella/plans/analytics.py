@@ -463,14 +463,14 @@ def windowed_counts(spark, sf):
       CAST(count(*) OVER (PARTITION BY user_id) AS BIGINT) AS n_foreign_regions FROM ends""",
 )
 def purity_regions(spark, sf):
-    """One label a time, as windows of a clip don't share one."""
+    """Labels of one second in the order of their events, which the SQL leaves open."""
     from .tables import timeline
 
     events = timeline(spark, sf)
     first = events.groupBy("user_id").agg(F.min("s").alias("from_"), F.max("e").alias("to_"))
-    windows = events.join(first, "user_id").select(F.col("user_id").cast("string").alias("utterance_id"), (F.col("s") - F.col("from_")).cast("double").alias("t"), F.col("label").alias("lang"), (F.col("to_") - F.col("from_")).cast("double").alias("d"))
+    windows = events.join(first, "user_id").select("event_id", F.col("user_id").cast("string").alias("utterance_id"), (F.col("s") - F.col("from_")).cast("double").alias("t"), F.col("label").alias("lang"), (F.col("to_") - F.col("from_")).cast("double").alias("d"))
     speech = windows.groupBy("utterance_id").agg(F.array_sort(F.collect_list(F.struct(F.col("t").alias("start"), (F.col("t") + 1).alias("end")))).alias("segments"))
-    found = scorers.purity_second(windows, speech)
+    found = scorers.purity_second(windows, speech, "event_id")
     return found.select("utterance_id", F.inline("language_regions"), "n_foreign_regions")
 
 

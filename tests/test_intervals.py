@@ -106,3 +106,22 @@ def test_empty_tables(spark):
     none = frame(spark, [])
     assert iv.greedy_groups(none, "p", "s", "e", 1, 1, "o").isEmpty() and iv.union_length(none, "p", "s", "e", "o").isEmpty()
     assert iv.hard_split(frame(spark, [(1, 5.0, 5.0, 0)])).isEmpty()
+
+
+@pytest.mark.parametrize("labels", ["aba", "aab", "baa", "bab"])
+def test_labels_of_one_time_count_once_in_order(spark, labels):
+    """However the windows lie in their partitions, each label of a time has one region there."""
+    from tessella.operators import scorers
+
+    rows = [("u", 0.0, "z", 9.0, 0), *[("u", 4.0, label, 9.0, 1 + n) for n, label in enumerate(labels)], ("u", 6.0, "z", 9.0, 9)]
+    windows = spark.createDataFrame(rows, "utterance_id string, t double, lang string, d double, event_id long")
+    speech = spark.createDataFrame([], "utterance_id string, segments array<struct<start:double,end:double>>")
+    for ordered in (windows, windows.orderBy(F.desc("event_id"))):
+        found = scorers.purity_second(ordered, speech, "event_id").first()["language_regions"]
+        first, second = dict.fromkeys(labels)
+        assert [tuple(r) for r in found] == [(0.0, 2.5, "z"), (2.5, 4.5, first), (4.5, 5.5, second), (5.5, 9.0, "z")]
+        plain = scorers.purity_second(ordered, speech).first()["language_regions"]
+        assert [r["lang"] for r in plain] == ["z", "a", "b", "z"]
+    # Times at the very end, where regions have no length.
+    end = spark.createDataFrame([("u", 3.0, "z", 4.0, 0), ("u", 4.0, "b", 4.0, 1), ("u", 4.0, "a", 4.0, 2)], windows.schema)
+    assert [tuple(r) for r in scorers.purity_second(end, speech, "event_id").first()["language_regions"]] == [(0.0, 4.0, "z"), (4.0, 4.0, "b"), (4.0, 4.0, "a")]
