@@ -33,8 +33,7 @@ def through(spark: SparkSession, kind: str, write: Callable[[str], object], read
     path = f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
     write(path)
     found = cut(read(path))
-    fs, jvm_path = w.at(spark, path)
-    fs.delete(jvm_path, True)
+    w.remove_folders(spark, path)
     return found
 
 

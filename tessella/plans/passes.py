@@ -302,12 +302,13 @@ def wav_files(spark, sf):
     files = table(spark, sf, "embeddings").select(content.cast("string").alias("value"))
 
     def read(path: str) -> DataFrame:
-        pcm = r.audio(spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content"), rate=RATE // 2)
+        # Small files are packed by their cost to open into tasks of some 30 each; these are put together.
+        rows = r.binary_files(spark, path, "part-*").coalesce(8 * spark.sparkContext.defaultParallelism)
         at = lambda i: F.get("pcm", F.lit(i)).cast("double")
-        found = r.probe(spark, path, "part-*").join(pcm, "path")
+        found = r.audio(r.probed(rows), rate=RATE // 2)
         return found.select("info.*", F.size("pcm").alias("n"), at(0).alias("first"), at(1).alias("second"), at(31).alias("last"))
 
-    return through(spark, "wav", lambda p: files.write.option("maxRecordsPerFile", 1).text(p), read)
+    return through(spark, "wav", lambda p: w.one_file_each(files, p), read)
 
 
 @keep("encoded_clips", "SELECT 'c' || vec_id || '_x.wav' AS name, 44 + 2 * len(embedding) AS bytes FROM embeddings")

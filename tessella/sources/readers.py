@@ -186,9 +186,19 @@ def rows_at(wanted: DataFrame, shards: DataFrame) -> DataFrame:
 WAV_INFO = T.StructType().add("codec", "string").add("sample_rate", "long").add("channels", "long").add("duration_sec", "double")
 
 
+def binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(path, content) of files under a folder at any depth."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "content")
+
+
 def probe(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, info) of audio files from their headers; info is null where they can't be read."""
-    ship(spark)
+    return probed(binary_files(spark, path, glob)).drop("content")
+
+
+def probed(rows: DataFrame) -> DataFrame:
+    """``rows`` (path, content) with the files' info, in one pass for what else reads the content."""
+    ship(rows.sparkSession)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -198,10 +208,9 @@ def probe(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         kind = pa.struct([("codec", pa.string()), ("sample_rate", pa.int64()), ("channels", pa.int64()), ("duration_sec", pa.float64())])
         for batch in batches:
             found = [media.probe(bytes(content.as_buffer())) for content in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["path", "info"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], ["path", "content", "info"])
 
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "content")
-    return rows.mapInArrow(run, T.StructType().add("path", "string").add("info", WAV_INFO))
+    return rows.select("path", "content").mapInArrow(run, T.StructType().add("path", "string").add("content", "binary").add("info", WAV_INFO))
 
 
 def audio(rows: DataFrame, content: str = "content", rate: int = 16_000) -> DataFrame:

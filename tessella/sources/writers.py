@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,28 @@ def uids(df: DataFrame, path: str, key: str = "utterance_id") -> None:
     publish(df.select(F.col(key).cast("string").alias("value")), path, "text")
 
 
+#: More than the number of folders from which on Spark lists them by tasks.
+FOLDERS = 64
+
+
+def one_file_each(df: DataFrame, path: str) -> None:
+    """Each value a file of its own, below as many folders as tasks write.
+
+    A table of small rows is one task's to read, but files take their time by number: writing is
+    spread over tasks, which put their files in place themselves, and listing over folders.
+    """
+    spread = df.repartition(FOLDERS).withColumn("folder", F.spark_partition_id())
+    spread.write.partitionBy("folder").options(**{"maxRecordsPerFile": 1, "mapreduce.fileoutputcommitter.algorithm.version": 2}).text(path)
+
+
+def remove_folders(spark: SparkSession, path: str) -> None:
+    """Delete a folder with many files, the folders in it side by side."""
+    fs, jvm_path = at(spark, path)
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda status: fs.delete(status.getPath(), True), fs.listStatus(jvm_path)))
+    fs.delete(jvm_path, True)
+
+
 #: Quotes doubled; a NUL before a quote is a character like any other.
 QUOTED = {"header": True, "quote": '"', "escape": '"', "charToEscapeQuoteEscaping": '"'}
 

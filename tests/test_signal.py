@@ -119,3 +119,21 @@ def test_following_a_folder(spark, tmp_path):
     assert follow() == 2 and follow() == 0
     df.write.mode("append").parquet(source)
     assert follow() == 2
+
+
+def test_small_files_are_written_by_many_tasks(spark, tmp_path):
+    """A file for each value, though a table's one partition holds them all; folders of these are deleted whole."""
+    from tessella.plans import passes
+    from tessella.sources import readers, writers
+
+    path = str(tmp_path / "files")
+    writers.one_file_each(spark.range(200).coalesce(1).selectExpr("cast(id as string) value"), path)
+    found = readers.binary_files(spark, path, "part-*").collect()
+    assert sorted(int(r["content"]) for r in found) == list(range(200))
+    assert len({r["path"].rsplit("part-", 1)[1].split("-")[0] for r in found}) == writers.FOLDERS
+    writers.remove_folders(spark, path)
+    assert not readers.exists(spark, path)
+    vectors = spark.createDataFrame([(1, [0.5] * 64, 0), (2, [-1.0] * 64, 0), (3, [0.5] * 64, 0)], "vec_id long, embedding array<float>, label int")
+    vectors.write.parquet(str(tmp_path / "embeddings.parquet"))
+    rows = passes.QUERIES["wav_files"](spark, str(tmp_path)).collect()
+    assert sorted(r["first"] for r in rows) == [-32767 / 32768, 16384 / 32768, 16384 / 32768] and {r["n"] for r in rows} == {32}
