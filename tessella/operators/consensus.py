@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..runtime import cut, ship
+from ..runtime import cut, ship, spread
 
 # The tiers' limits, and the limits of adjudication.
 TIERS = (("GOLD", 0.02), ("HIGH", 0.05), ("MEDIUM", 0.10))
@@ -37,7 +37,7 @@ def duration_bucket(seconds: Column) -> Column:
 
 def pillar(transcriptions: DataFrame, meta: DataFrame) -> DataFrame:
     """Transcriptions (file, raw) with their clips (file, utterance_id, source, normalized_caption), and the error rate against a caption."""
-    joined = transcriptions.join(meta, "file")
+    joined = spread(transcriptions, "file").join(meta, "file")
     rows = joined.withColumn("normalized", F.coalesce(tx.normalize(F.col("raw")), F.lit("")))
     rate = tx.wer(tx.words(F.col("normalized_caption")), tx.words(F.col("normalized")))
     return rows.select("utterance_id", "source", "raw", "normalized", F.when(F.coalesce("normalized_caption", F.lit("")) != "", rate).alias("ref_wer"))
@@ -54,7 +54,7 @@ def consensus(a: DataFrame, b: DataFrame, durations: DataFrame) -> DataFrame:
     The tier comes from the rate before it is rounded.
     """
     other = b.select("utterance_id", F.col("normalized").alias("b_text"))
-    joined = a.select("utterance_id", "source", "normalized").join(other, "utterance_id").join(durations.select("utterance_id", "duration_sec"), "utterance_id", "left")
+    joined = spread(a.select("utterance_id", "source", "normalized"), "utterance_id").join(other, "utterance_id").join(durations.select("utterance_id", "duration_sec"), "utterance_id", "left")
     rows = joined.withColumn("rate", pairwise_rate(F.col("normalized"), F.col("b_text"))).withColumn("consensus_tier", tier(F.col("rate")))
     return rows.select(
         "utterance_id", "source", F.bround("rate", 4).alias("pairwise_wer"), "consensus_tier", duration_bucket(F.col("duration_sec")).alias("duration_bucket"),

@@ -49,3 +49,12 @@ def cut(df: DataFrame) -> DataFrame:
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt out over all cores by ``keys``, for work that costs more than its rows' bytes tell.
+
+    By bytes alone small tables come to one task.  A join by the keys needs no further exchange of ``df``.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))), *keys)

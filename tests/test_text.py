@@ -134,3 +134,26 @@ def test_every_pair_of_turns_is_compared(spark, tmp_path):
     assert found == {k: difflib.SequenceMatcher(a=a, b=b, autojunk=False).get_opcodes() for k, (a, b) in pairs.items()}
     for name in ("consensus_tiers", "lm_adjudicate"):
         assert sorted(r["utterance_id"] for r in run(name)) == sorted(f"{c}-{t}" for c, t in pairs)
+
+
+def test_edit_distance_of_long_lists():
+    """Lists beyond a machine word, alike and not, with few words and many."""
+    import random
+
+    draw = random.Random(4)
+    for _ in range(60):
+        words, n = draw.choice((2, 5, 400)), draw.choice((5, 64, 65, 130, 200))
+        a = [str(draw.randrange(words)) for _ in range(n)]
+        b = [w for w in a if draw.random() < 0.9] if draw.random() < 0.5 else [str(draw.randrange(words)) for _ in range(draw.randrange(150))]
+        assert tx.edit_distance(a, b) == tx.edit_distance(b, a) == slow_distance(a, b)
+
+
+def test_rates_are_made_on_all_cores(spark):
+    """A table of one small partition comes to many tasks before the distances of its texts."""
+    rows = spark.range(500).coalesce(1).selectExpr("cast(id as string) file", "concat('Word ', id, ' and, more') raw")
+    meta = rows.selectExpr("file", "file utterance_id", "'s' source", "lower(raw) normalized_caption")
+    found = cs.pillar(rows, meta).select("utterance_id", "ref_wer", F.spark_partition_id().alias("task")).collect()
+    assert len(found) == 500 and len({r["task"] for r in found}) >= 4 * spark.sparkContext.defaultParallelism
+    text = meta.selectExpr("utterance_id", "source", "normalized_caption normalized")
+    tiers = cs.consensus(text, text, meta.selectExpr("utterance_id", "1.0D duration_sec")).select("consensus_tier", F.spark_partition_id().alias("task")).collect()
+    assert {r["consensus_tier"] for r in tiers} == {"GOLD"} and len({r["task"] for r in tiers}) >= 4 * spark.sparkContext.defaultParallelism
